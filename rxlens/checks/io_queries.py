@@ -1,0 +1,235 @@
+"""Sources and sinks: whole tables written as feeds or layers, and read back."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rxlens.checks.registry import query
+from rxlens.functions import as_date, first_of_month
+from rxlens.operators.reuse import checkpoint_stage, scratch_path
+from rxlens.operators.rows import align_and_union
+from rxlens.sources import feeds, layers
+from rxlens.sources.star import StarTables
+from rxlens.streaming import ingest_incremental, read_ingested
+from rxlens.streaming.ingest import LOAD_ID
+
+SPLIT = "1999-01-01"
+
+FEED_ROWS = """
+    SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(member_id AS VARCHAR) AS member_id,
+           CAST(provider_id AS VARCHAR) AS provider_id, claim_date, total_charge, claim_status
+    FROM claims
+"""
+
+
+def claims_feed(t: StarTables) -> DataFrame:
+    """Claims in the types of the raw feed."""
+    schema = feeds.FEEDS["claims"]
+    return t.claims().select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def drops(t: StarTables) -> tuple[DataFrame, DataFrame]:
+    """The feed as two deliveries."""
+    feed = claims_feed(t)
+    early = F.col("claim_date") < as_date(SPLIT)
+    return feed.where(early), feed.where(~early)
+
+
+@query("read_feed", FEED_ROWS)
+def read_feed(t: StarTables) -> DataFrame:
+    """Export as CSV with a header and read with the feed's schema."""
+    path = scratch_path(t.spark, "feed")
+    feeds.export_csv(claims_feed(t), path)
+    return feeds.read_feed(t.spark, path, feeds.FEEDS["claims"])
+
+
+@query(
+    "read_feed_inferred",
+    "SELECT claim_id, member_id, claim_date, total_charge, claim_status FROM claims",
+)
+def read_feed_inferred(t: StarTables) -> DataFrame:
+    """CSV types found by inspection; ids come back as numbers."""
+    path = scratch_path(t.spark, "feed")
+    feeds.export_csv(claims_feed(t).drop("provider_id"), path)
+    found = feeds.read_feed(t.spark, path)
+    return found.withColumns({name: F.col(name).cast("bigint") for name in ("claim_id", "member_id")})
+
+
+@query("json_scan", FEED_ROWS)
+def json_scan(t: StarTables) -> DataFrame:
+    path = scratch_path(t.spark, "json")
+    claims_feed(t).write.json(path)
+    return t.spark.read.schema(feeds.FEEDS["claims"]).json(path)
+
+
+@query("parquet_scan", "SELECT * FROM orders")
+def parquet_scan(t: StarTables) -> DataFrame:
+    return t.table("orders")
+
+
+@query("ingest_incremental", FEED_ROWS)
+def incremental(t: StarTables) -> DataFrame:
+    """Two deliveries; a load between them finds nothing new and adds nothing."""
+    landing, target, log = (scratch_path(t.spark, x) for x in ("landing", "bronze", "log"))
+    schema = feeds.FEEDS["claims"]
+    for drop in drops(t):
+        feeds.export_csv(drop, landing, mode="append")
+        ingest_incremental(t.spark, landing, target, schema, log)
+        again = ingest_incremental(t.spark, landing, target, schema, log)
+        if again:
+            raise AssertionError(f"second load added {again} rows")
+    return read_ingested(t.spark, target).drop(LOAD_ID)
+
+
+@query(
+    "ingest_projection",
+    "SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(year(claim_date) AS INTEGER) AS yr FROM claims",
+)
+def projection(t: StarTables) -> DataFrame:
+    landing, target, log = (scratch_path(t.spark, x) for x in ("landing", "bronze", "log"))
+    feeds.export_csv(claims_feed(t), landing)
+    ingest_incremental(
+        t.spark,
+        landing,
+        target,
+        feeds.FEEDS["claims"],
+        log,
+        transform=lambda feed: feed.select("claim_id", F.year("claim_date").alias("yr")),
+    )
+    return read_ingested(t.spark, target).drop(LOAD_ID)
+
+
+@query(
+    "ingest_full",
+    f"{FEED_ROWS} UNION ALL {FEED_ROWS}",
+)
+def full_reload(t: StarTables) -> DataFrame:
+    """A forced load appends every file again."""
+    landing, target = (scratch_path(t.spark, x) for x in ("landing", "bronze"))
+    schema = feeds.FEEDS["claims"]
+    feeds.export_csv(claims_feed(t), landing)
+    feeds.ingest_full(t.spark, landing, target, schema)
+    feeds.ingest_full(t.spark, landing, target, schema, mode="append")
+    return t.spark.read.parquet(target)
+
+
+@query(
+    "align_and_union",
+    f"""
+    SELECT claim_id, claim_date, total_charge,
+           CASE WHEN claim_date >= DATE '{SPLIT}' THEN claim_status END AS claim_status
+    FROM claims
+    """,
+)
+def evolving_feed(t: StarTables) -> DataFrame:
+    """The later feed has a column that the earlier one lacked."""
+    claims = t.claims(with_provider=False).drop("member_id")
+    early = F.col("claim_date") < as_date(SPLIT)
+    return align_and_union(claims.where(early).drop("claim_status"), claims.where(~early))
+
+
+TABLES = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+@query(
+    "feed_inventory",
+    " UNION ALL ".join(f"SELECT '{x}' AS feed, count(*) AS row_count FROM {x}" for x in TABLES),
+)
+def feed_inventory(t: StarTables) -> DataFrame:
+    """Rows per feed, added up over the feed's files."""
+    counts = [
+        feeds.feed_inventory(t.table(name))
+        .agg(F.sum("row_count").alias("row_count"))
+        .select(F.lit(name).alias("feed"), "row_count")
+        for name in TABLES
+    ]
+    whole = counts[0]
+    for one in counts[1:]:
+        whole = whole.unionByName(one)
+    return whole
+
+
+@query(
+    "with_lineage",
+    "SELECT claim_id, true AS has_source FROM claims",
+)
+def lineage(t: StarTables) -> DataFrame:
+    path = scratch_path(t.spark, "lineage")
+    t.claims(with_provider=False).write.parquet(path)
+    tagged = feeds.with_lineage(t.spark.read.parquet(path))
+    return tagged.select("claim_id", F.col("source_file").endswith(".parquet").alias("has_source"))
+
+
+@query(
+    "save_layer",
+    """
+    SELECT claim_id, claim_status, CAST(date_trunc('month', claim_date) AS DATE) AS claim_month
+    FROM claims
+    """,
+)
+def stored_layer(t: StarTables) -> DataFrame:
+    """Create or replace a table partitioned by month, append to it, and scan it."""
+    claims = t.claims(with_provider=False).select(
+        "claim_id", "claim_status", first_of_month("claim_date").alias("claim_month")
+    )
+    early = F.col("claim_month") < as_date(SPLIT)
+    options = {
+        "partition_by": "claim_month",
+        "path": scratch_path(t.spark, "layer"),
+        "comment": "Claims by month",
+    }
+    layers.save_layer(claims.where(early), "silver", "claims_by_month", **options)
+    layers.save_layer(
+        claims.where(~early), "silver", "claims_by_month", mode="append", **options
+    )
+    return t.spark.table("silver.claims_by_month")
+
+
+@query(
+    "insert_rows",
+    """
+    SELECT n_nationkey, n_name FROM nation UNION ALL SELECT -1, 'UNKNOWN'
+    """,
+)
+def literal_rows(t: StarTables) -> DataFrame:
+    nations = t.table("nation").select("n_nationkey", "n_name")
+    path = scratch_path(t.spark, "layer")
+    layers.save_layer(nations, "bronze", "nations", path=path)
+    layers.insert_rows(t.spark, "bronze.nations", [(-1, "UNKNOWN")])
+    return t.spark.table("bronze.nations")
+
+
+@query("compact", "SELECT * FROM orders")
+def compacted(t: StarTables) -> DataFrame:
+    """Many files become few, in order of member and date."""
+    src, path = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
+    t.table("orders").repartition(16).write.parquet(src)
+    return layers.compact(t.spark, src, path, 4, ["o_custkey", "o_orderdate"])
+
+
+@query(
+    "write_history",
+    f"""
+    SELECT claim_id, claim_status, DATE '{SPLIT}' AS batch_ts FROM claims
+    WHERE claim_date < DATE '{SPLIT}'
+    UNION ALL SELECT claim_id, claim_status, DATE '2001-12-31' FROM claims
+    WHERE claim_date >= DATE '{SPLIT}'
+    """,
+)
+def stored_history(t: StarTables) -> DataFrame:
+    """Two batches in a history table; the second is written twice."""
+    path = scratch_path(t.spark, "history")
+    first, second = (drop.select("claim_id", "claim_status") for drop in drops(t))
+    layers.write_history(first, path, dt.date.fromisoformat(SPLIT))
+    for _ in range(2):
+        layers.write_history(second, path, dt.date(2001, 12, 31))
+    stored = t.spark.read.parquet(path)
+    return stored.withColumn("claim_id", F.col("claim_id").cast("bigint"))
+
+
+@query("checkpoint_stage", "SELECT * FROM claims")
+def staged(t: StarTables) -> DataFrame:
+    return checkpoint_stage(t.claims())

@@ -18,7 +18,8 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size Spark's optimizer expects; the default for unknown sizes is very large."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size))
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
