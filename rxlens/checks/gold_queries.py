@@ -465,8 +465,23 @@ def pre_post_sql(source: str, by: str) -> str:
     """,
 )
 def pre_post(t: StarTables) -> DataFrame:
-    places = t.providers().select("provider_id", F.col("specialty").alias("channel"))
-    return gold.pre_post(t.claims().join(places, "provider_id", "left"), ["channel"], EVENT)
+    return gold.pre_post_by_channel(t.claims(), t.providers(), EVENT)
+
+
+@query(
+    "pre_post_by_status",
+    f"""{pre_post_sql('claims', 'claim_status')}
+    SELECT claim_status, pre_months, post_months, pre_claims, post_claims,
+           pre_cents / 100.0 AS pre_spend, post_cents / 100.0 AS post_spend,
+           pre_spend_per_month, post_spend_per_month,
+           {half_up('''(post_spend_per_month - pre_spend_per_month)
+                       / nullif(pre_spend_per_month, 0) * 100''')} AS change_pct,
+           {half_up('pre_spend_per_month - post_spend_per_month')} AS savings_per_month
+    FROM rates
+    """,
+)
+def pre_post_by_status(t: StarTables) -> DataFrame:
+    return gold.pre_post(t.claims(with_provider=False), ["claim_status"], EVENT)
 
 
 @query(
@@ -487,6 +502,4 @@ def pre_post(t: StarTables) -> DataFrame:
     """,
 )
 def impact(t: StarTables) -> DataFrame:
-    places = t.providers().select("provider_id", F.col("specialty").alias("channel"))
-    claims = t.claims().join(places, "provider_id", "left")
-    return gold.impact(claims, F.col("channel") == "Mail Order", EVENT)
+    return gold.channel_impact(t.claims(), t.providers(), "Mail Order", EVENT)

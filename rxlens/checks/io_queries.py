@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rxlens.checks.registry import query
 from rxlens.functions import as_date, first_of_month
+from rxlens.operators.quality import counted
 from rxlens.operators.reuse import checkpoint_stage, scratch_path
 from rxlens.operators.rows import align_and_union
 from rxlens.sources import feeds, layers
@@ -188,6 +189,36 @@ def stored_layer(t: StarTables) -> DataFrame:
     return t.spark.table("silver.claims_by_month")
 
 
+@query(
+    "stored_view",
+    """
+    SELECT claim_status, count(*) AS claims FROM claims GROUP BY claim_status
+    """,
+)
+def stored_view(t: StarTables) -> DataFrame:
+    """A permanent view over a stored table."""
+    claims = t.claims(with_provider=False).select("claim_id", "claim_status")
+    layers.save_layer(claims, "silver", "claim_status", path=scratch_path(t.spark, "layer"))
+    t.spark.sql(
+        """
+        CREATE OR REPLACE VIEW silver.claims_per_status AS
+        SELECT claim_status, count(claim_id) AS claims FROM silver.claim_status GROUP BY ALL
+        """
+    )
+    return t.spark.table("silver.claims_per_status")
+
+
+@query(
+    "observed_write",
+    "SELECT *, (SELECT count(*) FROM claims) AS rows_written FROM claims",
+)
+def observed_write(t: StarTables) -> DataFrame:
+    """Count rows while they are written, without another pass."""
+    watched, seen = counted(t.claims(), "claims")
+    stored = checkpoint_stage(watched)
+    return stored.withColumn("rows_written", F.lit(seen.get["row_count"]).cast("bigint"))
+
+
 @query(
     "insert_rows",
     """

@@ -25,7 +25,7 @@ from rxlens.functions import (
 )
 from rxlens.operators import joins, quality, tables
 from rxlens.operators.aggregates import count_when, freq, monthly, summarise, to_wide
-from rxlens.operators.reuse import cached
+from rxlens.operators.reuse import cached, checkpoint_stage
 from rxlens.operators.rows import append_all, dedup_best
 from rxlens.operators.trend import (
     flag_anomalies,
@@ -905,7 +905,6 @@ def cached_branches(t: StarTables) -> DataFrame:
         .select("claim_id", "plan_id")
     )
     with cached(joined) as kept:
-        total = kept.count()
-        by_plan = kept.groupBy("plan_id").agg(F.count(F.lit(1)).alias("claims")).collect()
-    rows = [(row["plan_id"], row["claims"], total) for row in by_plan]
-    return t.spark.createDataFrame(rows, "plan_id string, claims bigint, all_claims bigint")
+        total = kept.agg(F.count(F.lit(1)).alias("all_claims"))
+        by_plan = kept.groupBy("plan_id").agg(F.count(F.lit(1)).alias("claims"))
+        return checkpoint_stage(joins.with_scalars(by_plan, total))

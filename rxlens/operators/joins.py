@@ -62,8 +62,12 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def in_subquery(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (``IN (SELECT ...)``)."""
-    return df.join(keys, on, "left_semi")
+    """Rows whose key occurs in ``keys`` (``IN (SELECT ...)``).
+
+    The keys are made distinct, and so combined within map tasks, before they move.
+    """
+    names = [on] if isinstance(on, str) else list(on)
+    return df.join(keys.select(*names).distinct(), names, "left_semi")
 
 
 def members_in_plan(claims: DataFrame, members: DataFrame, plan_id: str) -> DataFrame:

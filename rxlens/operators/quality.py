@@ -58,7 +58,7 @@ def enforce(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Data
 def orphans(df: DataFrame, parent: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is missing from ``parent``, NULL keys included."""
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(parent.select(*keys), keys, "left_anti")
+    return df.join(parent.select(*keys).distinct(), keys, "left_anti")
 
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
@@ -82,11 +82,14 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("row_count")), seen
 
 
-def schema_drift(old: T.StructType, new: T.StructType) -> list[tuple[str, str, str | None, str | None]]:
+Drift = tuple[str, str, str | None, str | None]
+
+
+def schema_drift(old: T.StructType, new: T.StructType) -> list[Drift]:
     """Columns (change, name, old type, new type) that a feed gained, lost, retyped or moved."""
     before = {field.name: field.dataType.simpleString() for field in old}
     after = {field.name: field.dataType.simpleString() for field in new}
-    drift: list[tuple[str, str, str | None, str | None]] = []
+    drift: list[Drift] = []
     drift += [("lost", name, kind, None) for name, kind in before.items() if name not in after]
     drift += [("added", name, None, kind) for name, kind in after.items() if name not in before]
     kept = [name for name in before if name in after]

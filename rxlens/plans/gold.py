@@ -8,7 +8,7 @@ with a large part of all rows shrinks to a few rows inside each map task.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -441,43 +441,45 @@ def pmpm(claims: DataFrame, members: DataFrame, start: Day, end: Day) -> DataFra
 # --- before and after --------------------------------------------------------------------------
 
 
-def pre_post(
+def event_months(
     df: DataFrame,
     by: Sequence[str],
     event_date: Day,
     date: str = "claim_date",
     amount: str = "total_charge",
 ) -> DataFrame:
-    """Volume and spend before and from the event, per key, as totals and monthly rates.
+    """Totals per month, key and side of the event; ``after`` holds from its day on."""
+    dated = df.where(F.col(date).isNotNull())
+    return monthly(
+        dated.withColumn("after", F.col(date) >= as_date(event_date)),
+        date,
+        [*by, "after"],
+        {"claim_count": _rows(), "cents": F.sum(cents(amount))},
+    )
+
+
+def compare_sides(months: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``event_months`` laid out per key: totals and monthly rates before and after.
 
     A side's months are those in which the key has rows on that side; the event's own
     month counts on both sides when the event falls inside it.
     """
-    after = F.col(date) >= as_date(event_date)
-    months = monthly(
-        df.where(F.col(date).isNotNull()).withColumn("__after", after),
-        date,
-        [*by, "__after"],
-        {"claims": _rows(), "cents": F.sum(cents(amount))},
-    )
 
-    def side(flag: bool, measure: Column) -> Column:
-        return F.coalesce(
-            F.sum(F.when(F.col("__after") == flag, measure)), F.lit(0).cast("bigint")
-        )
+    def side(after: bool, measure: Column) -> Column:
+        of_side = F.when(F.col("after") == after, measure)
+        return F.coalesce(F.sum(of_side), F.lit(0).cast("bigint"))
 
-    one = F.lit(1).cast("bigint")
-    totals: Mapping[str, Column] = {
-        f"{tag}_{name}": side(flag, measure)
-        for flag, tag in ((False, "pre"), (True, "post"))
-        for name, measure in (
-            ("months", one),
-            ("claims", F.col("claims")),
-            ("cents", F.col("cents")),
-        )
+    measures = {
+        "months": F.lit(1).cast("bigint"),
+        "claims": F.col("claim_count"),
+        "cents": F.col("cents"),
     }
-    wide = summarise(months, by, totals)
-    rates = wide.withColumns(
+    totals = {
+        f"{tag}_{name}": side(after, measure)
+        for tag, after in (("pre", False), ("post", True))
+        for name, measure in measures.items()
+    }
+    rates = summarise(months, by, totals).withColumns(
         {
             f"{tag}_spend_per_month": ratio(f"{tag}_cents", F.col(f"{tag}_months") * 100)
             for tag in ("pre", "post")
@@ -499,22 +501,47 @@ def pre_post(
     ).orderBy(*by)
 
 
-def impact(
+def pre_post(
     df: DataFrame,
-    treated: Column,
+    by: Sequence[str],
     event_date: Day,
     date: str = "claim_date",
     amount: str = "total_charge",
 ) -> DataFrame:
-    """Change of the treated rows less the change of all others, in spend per month; one row.
+    """Volume and spend before and from the event, per key of ``df``."""
+    return compare_sides(event_months(df, by, event_date, date, amount), by)
 
-    A row for which ``treated`` is NULL belongs to the comparison group.
+
+def _channel_event_months(
+    claims: DataFrame, providers: DataFrame, event_date: Day
+) -> DataFrame:
+    """``event_months`` by channel, from totals per pharmacy."""
+    places = providers.select("provider_id", F.col("specialty").alias("channel"))
+    months = event_months(claims, ["provider_id"], event_date)
+    return resummarise(
+        months.join(places, "provider_id", "left"),
+        ["claim_month", "channel", "after"],
+        ["claim_count", "cents"],
+    )
+
+
+def pre_post_by_channel(claims: DataFrame, providers: DataFrame, event_date: Day) -> DataFrame:
+    """``pre_post`` per channel."""
+    return compare_sides(_channel_event_months(claims, providers, event_date), ["channel"])
+
+
+def impact(months: DataFrame, treated: Column) -> DataFrame:
+    """Change of the treated keys less the change of all others; one row.
+
+    ``months`` comes from ``event_months``, by the columns that ``treated`` needs; a key
+    for which ``treated`` is NULL is compared against. Rates are spend per month.
     """
-    flagged = df.withColumn("__treated", F.coalesce(treated, F.lit(False)))
-    sides = pre_post(flagged, ["__treated"], event_date, date, amount)
+    flagged = months.withColumn("treated", F.coalesce(treated, F.lit(False)))
+    groups = resummarise(flagged, ["claim_month", "treated", "after"], ["claim_count", "cents"])
+    sides = compare_sides(groups, ["treated"])
 
     def of(flag: bool, name: str) -> Column:
-        return F.max(F.when(F.col("__treated") == flag, F.col(name)))
+        return F.max(F.when(F.col("treated") == flag, F.col(name)))
 
     rates = sides.agg(
         of(True, "pre_spend_per_month").alias("treated_pre"),
@@ -530,3 +557,11 @@ def impact(
         F.round(comparison_change, 2).alias("comparison_change"),
         F.round(treated_change - comparison_change, 2).alias("impact"),
     )
+
+
+def channel_impact(
+    claims: DataFrame, providers: DataFrame, channel: str, event_date: Day
+) -> DataFrame:
+    """``impact`` of an event on one channel, all others as the comparison."""
+    months = _channel_event_months(claims, providers, event_date)
+    return impact(months, F.col("channel") == channel)

@@ -61,7 +61,12 @@ def silver_providers(raw: DataFrame) -> DataFrame:
 
 
 def silver_procedures(raw: DataFrame, keep_sign: bool = False) -> DataFrame:
-    """Drug lines with a clean amount, one per claim and drug: the dearest, then by text."""
+    """Drug lines with a clean amount, one per claim and drug: the dearest, then by text.
+
+    The amount is tested after the best line is picked. That keeps the same lines, as the
+    best line fails the test only if all of its key's lines do, and the amount is parsed
+    once per line, not once more in a filter.
+    """
     lines = raw.where(F.col("claim_id").isNotNull()).select(
         "claim_id",
         norm_code("procedure_code").alias("procedure_code"),
@@ -69,8 +74,8 @@ def silver_procedures(raw: DataFrame, keep_sign: bool = False) -> DataFrame:
         clean_amount("amount", keep_sign).alias("amount"),
     )
     best = dedup_best(
-        lines.where(F.col("amount") > 0),
+        lines,
         ["claim_id", "procedure_code"],
         [F.desc("amount"), F.asc("procedure_desc")],
-    )
+    ).where(F.col("amount") > 0)
     return best.withColumn("cost_category", band("amount", COST_CUTS, COST_LABELS))

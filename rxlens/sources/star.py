@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rxlens.functions import map_code
 from rxlens.values import CHANNEL_CODES, UNKNOWN_LABEL
@@ -18,6 +19,8 @@ AS_OF = "2001-12-31"
 STATUS_OF_ORDER = {"F": "approved", "O": "pending", "P": "denied"}
 CHANNEL_CODE_OF_REMAINDER = ("R", "M", "S")
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
 
 class StarTables:
     """Lazy entities over a folder of Parquet files."""
@@ -27,7 +30,12 @@ class StarTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Scan a table. Its schema is read from a file footer once per session."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        seen = (self.spark.sparkContext.applicationId, path)
+        if seen not in _SCHEMAS:
+            _SCHEMAS[seen] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[seen]).parquet(path)
 
     def claims(self, with_provider: bool = True) -> DataFrame:
         """Claim headers. The pharmacy is the lowest supplier on the order's lines, so an
