@@ -18,6 +18,7 @@ from rxlens.streaming import ingest_incremental, read_ingested
 from rxlens.streaming.ingest import LOAD_ID
 
 SPLIT = "1999-01-01"
+CHECK_TABLE = "rxlens_check_claims_by_month"
 
 FEED_ROWS = """
     SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(member_id AS VARCHAR) AS member_id,
@@ -103,6 +104,24 @@ def projection(t: StarTables) -> DataFrame:
     return read_ingested(t.spark, target).drop(LOAD_ID)
 
 
+@query("ingest_json", FEED_ROWS)
+def json_feed(t: StarTables) -> DataFrame:
+    landing, target, log = (scratch_path(t.spark, x) for x in ("landing", "bronze", "log"))
+    claims_feed(t).write.json(landing)
+    schema = feeds.FEEDS["claims"]
+    ingest_incremental(t.spark, landing, target, schema, log, file_format="json")
+    return read_ingested(t.spark, target).drop(LOAD_ID)
+
+
+@query("ingest_parquet", "SELECT * FROM lineitem")
+def parquet_feed(t: StarTables) -> DataFrame:
+    landing, target, log = (scratch_path(t.spark, x) for x in ("landing", "bronze", "log"))
+    lines = t.table("lineitem")
+    lines.write.parquet(landing)
+    ingest_incremental(t.spark, landing, target, lines.schema, log, file_format="parquet")
+    return read_ingested(t.spark, target).drop(LOAD_ID)
+
+
 @query(
     "ingest_full",
     f"{FEED_ROWS} UNION ALL {FEED_ROWS}",
@@ -182,11 +201,9 @@ def stored_layer(t: StarTables) -> DataFrame:
         "path": scratch_path(t.spark, "layer"),
         "comment": "Claims by month",
     }
-    layers.save_layer(claims.where(early), "silver", "claims_by_month", **options)
-    layers.save_layer(
-        claims.where(~early), "silver", "claims_by_month", mode="append", **options
-    )
-    return t.spark.table("silver.claims_by_month")
+    layers.save_layer(claims.where(early), "silver", CHECK_TABLE, **options)
+    layers.save_layer(claims.where(~early), "silver", CHECK_TABLE, mode="append", **options)
+    return t.spark.table(f"silver.{CHECK_TABLE}")
 
 
 @query(
@@ -198,14 +215,14 @@ def stored_layer(t: StarTables) -> DataFrame:
 def stored_view(t: StarTables) -> DataFrame:
     """A permanent view over a stored table."""
     claims = t.claims(with_provider=False).select("claim_id", "claim_status")
-    layers.save_layer(claims, "silver", "claim_status", path=scratch_path(t.spark, "layer"))
+    layers.save_layer(claims, "silver", "rxlens_check_status", path=scratch_path(t.spark, "layer"))
     t.spark.sql(
         """
-        CREATE OR REPLACE VIEW silver.claims_per_status AS
-        SELECT claim_status, count(claim_id) AS claims FROM silver.claim_status GROUP BY ALL
+        CREATE OR REPLACE VIEW silver.rxlens_check_status_counts AS
+        SELECT claim_status, count(claim_id) AS claims FROM silver.rxlens_check_status GROUP BY ALL
         """
     )
-    return t.spark.table("silver.claims_per_status")
+    return t.spark.table("silver.rxlens_check_status_counts")
 
 
 @query(
@@ -228,17 +245,19 @@ def observed_write(t: StarTables) -> DataFrame:
 def literal_rows(t: StarTables) -> DataFrame:
     nations = t.table("nation").select("n_nationkey", "n_name")
     path = scratch_path(t.spark, "layer")
-    layers.save_layer(nations, "bronze", "nations", path=path)
-    layers.insert_rows(t.spark, "bronze.nations", [(-1, "UNKNOWN")])
-    return t.spark.table("bronze.nations")
+    layers.save_layer(nations, "bronze", "rxlens_check_nations", path=path)
+    layers.insert_rows(t.spark, "bronze.rxlens_check_nations", [(-1, "UNKNOWN")])
+    return t.spark.table("bronze.rxlens_check_nations")
 
 
 @query("compact", "SELECT * FROM orders")
 def compacted(t: StarTables) -> DataFrame:
-    """Many files become few, in order of member and date."""
-    src, path = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
-    t.table("orders").repartition(16).write.parquet(src)
-    return layers.compact(t.spark, src, path, 4, ["o_custkey", "o_orderdate"])
+    """A table written by two loads, rewritten in order of member and date."""
+    src, path = scratch_path(t.spark, "loads"), scratch_path(t.spark, "compact")
+    early = F.col("o_orderdate") < F.lit(SPLIT).cast("timestamp_ntz")
+    for load in (early, ~early):
+        t.table("orders").where(load).write.mode("append").parquet(src)
+    return layers.compact(t.spark, src, path, cluster_by=["o_custkey", "o_orderdate"])
 
 
 @query(

@@ -91,8 +91,10 @@ def percentiles(
     Spark's own exact percentile gathers every distinct value in one task. Here a
     bounded-error sketch first brackets each wanted rank; then one aggregation counts
     rows, value by value inside the brackets and lump-sum between them. Only that small
-    histogram (about 8 / accuracy of the rows per point at most, fewer with ties) is
-    ranked in one task. ``exact=False`` returns the sketch's answer.
+    histogram is ranked in one task: per point at most 8 / accuracy of the rows, and no
+    more than there are different amounts inside the bracket. A billion members give
+    under a million rows per point; raise ``accuracy`` for more. ``exact=False`` returns
+    the sketch's answer.
     """
     values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     if not exact:

@@ -25,13 +25,15 @@ def ingest_incremental(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     sep: str = ",",
+    file_format: str = "csv",
     max_files_per_batch: int = 10_000,
 ) -> int:
-    """Append the rows of new CSV files under ``src`` to ``target``; returns rows added.
+    """Append the rows of new files under ``src`` to ``target``; returns rows added.
 
-    ``transform`` selects or derives columns on the way. The header must name the
-    schema's columns in order, else the load fails as a whole. For a feed with a new
-    column, call again with the longer schema and the same checkpoint.
+    ``transform`` selects or derives columns on the way. ``file_format`` is any file
+    source of Spark. The header of a CSV file must name the schema's columns in order,
+    else the load fails as a whole. For a feed with a new column, call again with the
+    longer schema and the same checkpoint.
     """
     added = 0
 
@@ -44,14 +46,10 @@ def ingest_incremental(
         counted.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_ID}={load_id}")
         added += seen.get["rows"]
 
-    feed = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .csv(src)
-    )
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
+    if file_format == "csv":
+        reader = reader.options(header=True, sep=sep, enforceSchema=False)
+    feed = reader.format(file_format).load(src)
     if transform is not None:
         feed = feed.transform(transform)
     query = (

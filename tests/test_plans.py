@@ -37,10 +37,7 @@ def star(spark, sf_dir):
     return StarTables(spark, sf_dir)
 
 
-IO = {name for name, q in QUERIES.items() if "io_queries" in q.__code__.co_filename}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - IO))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     with settings(spark, NO_BROADCAST):
         plan = plan_of(QUERIES[name](spark, sf_dir))
@@ -134,3 +131,24 @@ def test_drug_mix_reduces_lines_before_members_join(spark, star):
     line_join = plan.index("SortMergeJoin [claim_id")
     assert "partial_sum" in plan[member_join:line_join]
     assert "procedure_desc" not in plan and "p_name" not in plan
+
+
+def test_top_k_keeps_k_rows_per_task(spark, sf_dir):
+    plan = plan_of(QUERIES["top_members"](spark, sf_dir))
+    assert "TakeOrderedAndProject(limit=20" in plan
+    assert "rangepartitioning" not in plan
+
+
+def test_a_wrong_column_name_fails_before_any_job(star):
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        star.claims().filter(F.col("bad_column") == 1)
+
+
+def test_upsert_moves_only_source_keys_when_they_are_few(spark, star):
+    from rxlens.operators.tables import upsert
+
+    target = star.claims(with_provider=False)
+    batch = target.where("claim_date >= '2001-07-01'")
+    plan = plan_of(upsert(target, batch, ["claim_id"]))
+    anti = plan.index("BroadcastHashJoin [claim_id")
+    assert "LeftAnti" in plan[anti:].split("\n")[0]
