@@ -310,15 +310,16 @@ def member_summary(t: StarTables) -> DataFrame:
     return gold.member_summary(t.claims(with_provider=False))
 
 
-def _high_cost(t: StarTables) -> DataFrame:
+def _high_cost(t: StarTables, ordered: bool) -> DataFrame:
+    lines = t.procedures(with_desc=False)
     return gold.high_cost_members(
-        t.claims(with_provider=False), t.procedures(with_desc=False), t.members(), AS_OF
+        t.claims(with_provider=False), lines, t.members(), AS_OF, ordered=ordered
     )
 
 
 @query("high_cost_members", f"{HIGH_COST} SELECT * FROM high_cost")
 def high_cost_members(t: StarTables) -> DataFrame:
-    return _high_cost(t)
+    return _high_cost(t, ordered=True)
 
 
 @query(
@@ -328,7 +329,7 @@ def high_cost_members(t: StarTables) -> DataFrame:
     """,
 )
 def top_members(t: StarTables) -> DataFrame:
-    return top_k(_high_cost(t), 20, [F.desc("total_drug_spend")], ["member_id"])
+    return top_k(_high_cost(t, ordered=False), 20, [F.desc("total_drug_spend")], ["member_id"])
 
 
 @query(

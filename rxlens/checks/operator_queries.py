@@ -329,19 +329,16 @@ def semi_join_plan(t: StarTables) -> DataFrame:
 
 
 @query(
-    "claim_lines",
+    "drug_lines",
     """
     SELECT c.claim_id, c.member_id, p.procedure_code, p.procedure_desc, p.amount,
-           m.gender, m.plan_id
+           m.gender, m.birth_date, m.plan_id AS lob
     FROM claims c JOIN procedures p ON p.claim_id = c.claim_id
                   JOIN members m ON m.member_id = c.member_id
     """,
 )
-def claim_lines(t: StarTables) -> DataFrame:
-    people = t.members().select("member_id", "gender", "plan_id")
-    return joins.drug_lines(t.claims(with_provider=False), t.procedures()).join(
-        people, "member_id"
-    )
+def drug_lines(t: StarTables) -> DataFrame:
+    return joins.drug_lines(claims_of(t), t.procedures(), t.members())
 
 
 @query(

@@ -76,9 +76,11 @@ def members_in_plan(claims: DataFrame, members: DataFrame, plan_id: str) -> Data
     return in_subquery(claims, chosen, "member_id")
 
 
-def drug_lines(claims: DataFrame, procedures: DataFrame) -> DataFrame:
-    """Drug line items with the member of their claim; lines without a claim drop out."""
-    return claims.select("claim_id", "member_id").join(procedures, "claim_id")
+def drug_lines(claims: DataFrame, procedures: DataFrame, members: DataFrame) -> DataFrame:
+    """Drug line items with the member of their claim; lines without either drop out."""
+    people = members.select("member_id", "gender", "birth_date", F.col("plan_id").alias("lob"))
+    headers = claims.select("claim_id", "member_id")
+    return headers.join(procedures, "claim_id").join(people, "member_id")
 
 
 def with_lob(claims: DataFrame, members: DataFrame) -> DataFrame:

@@ -306,12 +306,15 @@ def high_cost_members(
     members: DataFrame,
     as_of: Day,
     exact: bool = True,
+    ordered: bool = True,
     stage: Callable[[DataFrame], DataFrame] = stage_if_shared,
 ) -> DataFrame:
     """Members at or above the 75th percentile of spend, with tier and drug count.
 
     The member summary feeds the thresholds and the result; ``stage`` decides whether it
     is written in between. Only members above the lowest threshold reach the joins.
+    ``ordered=False`` saves the sort, by spend, when the result is stored or cut to a
+    top list anyway.
     """
     summary = stage(member_summary(claims))
     costly = with_scalars(summary, member_percentiles(summary, exact)).where(
@@ -323,32 +326,29 @@ def high_cost_members(
     people = members.select(
         "member_id", "first_name", "last_name", "gender", "birth_date", "plan_id"
     )
-    return (
-        counted.join(people, "member_id")
-        .select(
-            "member_id",
-            "claim_count",
-            "total_drug_spend",
-            "avg_spend_per_claim",
-            "first_fill_date",
-            "last_fill_date",
-            "years_with_fills",
-            "distinct_drugs",
-            tier("total_drug_spend", SPEND_TIERS, SPEND_TIER_DEFAULT).alias("spend_tier"),
-            tier("distinct_drugs", POLYPHARMACY_TIERS, POLYPHARMACY_DEFAULT).alias(
-                "polypharmacy_flag"
-            ),
-            *SPEND_POINTS,
-            "first_name",
-            "last_name",
-            "gender",
-            "birth_date",
-            age_year_diff("birth_date", as_of).alias("age"),
-            F.col("plan_id").alias("lob"),
-            days_since("last_fill_date", as_of).alias("days_since_last_fill"),
-        )
-        .orderBy(F.desc("total_drug_spend"), "member_id")
+    found = counted.join(people, "member_id").select(
+        "member_id",
+        "claim_count",
+        "total_drug_spend",
+        "avg_spend_per_claim",
+        "first_fill_date",
+        "last_fill_date",
+        "years_with_fills",
+        "distinct_drugs",
+        tier("total_drug_spend", SPEND_TIERS, SPEND_TIER_DEFAULT).alias("spend_tier"),
+        tier("distinct_drugs", POLYPHARMACY_TIERS, POLYPHARMACY_DEFAULT).alias(
+            "polypharmacy_flag"
+        ),
+        *SPEND_POINTS,
+        "first_name",
+        "last_name",
+        "gender",
+        "birth_date",
+        age_year_diff("birth_date", as_of).alias("age"),
+        F.col("plan_id").alias("lob"),
+        days_since("last_fill_date", as_of).alias("days_since_last_fill"),
     )
+    return found.orderBy(F.desc("total_drug_spend"), "member_id") if ordered else found
 
 
 def drug_type_mix(
@@ -359,13 +359,11 @@ def drug_type_mix(
     Lines are reduced to one row per member and drug type before the members join, so at
     most three rows per member reach it.
     """
-    lines = claims.select("claim_id", "member_id").join(
-        procedures.select(
-            "claim_id",
-            "amount",
-            band("amount", DRUG_TYPE_CUTS, DRUG_TYPE_LABELS).alias("drug_type"),
-        ),
-        "claim_id",
+    drug_type = band("amount", DRUG_TYPE_CUTS, DRUG_TYPE_LABELS)
+    lines = (
+        claims.select("claim_id", "member_id")
+        .join(procedures.select("claim_id", "amount"), "claim_id")
+        .withColumn("drug_type", drug_type)
     )
     per_member = summarise(
         lines,
