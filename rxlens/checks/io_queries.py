@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxlens.checks.gold_queries import CHANNEL_SUMMARY, MONTHS
 from rxlens.checks.registry import query
 from rxlens.functions import as_date, first_of_month
 from rxlens.operators.quality import counted
 from rxlens.operators.reuse import checkpoint_stage, scratch_path
 from rxlens.operators.rows import align_and_union
+from rxlens.plans.pipeline import Layers, build_gold, build_silver, load_bronze
 from rxlens.sources import feeds, layers
-from rxlens.sources.star import StarTables
+from rxlens.sources.star import AS_OF, StarTables
 from rxlens.streaming import ingest_incremental, read_ingested
 from rxlens.streaming.ingest import LOAD_ID
 
@@ -280,6 +282,31 @@ def stored_history(t: StarTables) -> DataFrame:
     return stored.withColumn("claim_id", F.col("claim_id").cast("bigint"))
 
 
+def medallion(t: StarTables) -> dict[str, DataFrame]:
+    """All feeds as CSV drops, loaded, cleaned and turned into stored reports."""
+    landing, bronze, log, root = (
+        scratch_path(t.spark, x) for x in ("landing", "bronze", "log", "tables")
+    )
+    sources = {
+        "members": t.members(),
+        "claims": t.claims(),
+        "providers": t.providers(),
+        "procedures": t.procedures(),
+    }
+    for feed, df in sources.items():
+        feeds.export_csv(df, f"{landing}/{feed}")
+    load_bronze(t.spark, landing, bronze, log)
+    layers_at = Layers("rxlens_check_", root)
+    silver = build_silver(t.spark, bronze, layers_at)
+    return build_gold(silver, AS_OF, *MONTHS, layers_at)
+
+
+@query("medallion_channels", f"{CHANNEL_SUMMARY} SELECT * FROM channel_summary")
+def medallion_channels(t: StarTables) -> DataFrame:
+    """The channel report at the end of the whole way from CSV files."""
+    return medallion(t)["channel_summary"]
+
+
 @query("checkpoint_stage", "SELECT * FROM claims")
 def staged(t: StarTables) -> DataFrame:
     return checkpoint_stage(t.claims())

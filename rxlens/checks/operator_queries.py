@@ -25,7 +25,7 @@ from rxlens.functions import (
 )
 from rxlens.operators import joins, quality, tables
 from rxlens.operators.aggregates import count_when, freq, monthly, summarise, to_wide
-from rxlens.operators.reuse import cached, checkpoint_stage
+from rxlens.operators.reuse import cached, checkpoint_stage, stage_if_shared
 from rxlens.operators.rows import append_all, dedup_best
 from rxlens.operators.trend import (
     flag_anomalies,
@@ -519,7 +519,7 @@ def change_feed(t: StarTables) -> DataFrame:
 @query("apply_changes", f"{STATES} SELECT * FROM new_state")
 def apply_changes(t: StarTables) -> DataFrame:
     old, new = states(t)
-    changes = tables.change_feed(old, new, ["claim_id"])
+    changes = stage_if_shared(tables.change_feed(old, new, ["claim_id"]))
     return tables.apply_changes(old, changes, ["claim_id"])
 
 
@@ -527,7 +527,7 @@ def history(t: StarTables) -> DataFrame:
     """Change history: a first load, then one batch, applied twice."""
     old, new = states(t)
     first = tables.change_feed(old.limit(0), old, ["claim_id"])
-    second = tables.change_feed(old, new, ["claim_id"])
+    second = stage_if_shared(tables.change_feed(old, new, ["claim_id"]))
     stamped = first.withColumn("batch_ts", F.lit(BATCHES[0]))
     once = tables.apply_history(stamped, second, BATCHES[1])
     return tables.apply_history(once, second, BATCHES[1])

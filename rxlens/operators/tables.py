@@ -89,7 +89,11 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def apply_changes(state: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """State after a change feed."""
+    """State after a change feed.
+
+    The feed is read twice; stage one that is expensive to work out. When it is small the
+    state does not shuffle.
+    """
     written = changes.where(F.col(CHANGE).isin("insert", "update_post"))
     touched = changes.where(F.col(CHANGE) != "update_pre").select(*keys).distinct()
     same_key = None

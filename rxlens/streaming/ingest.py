@@ -33,7 +33,8 @@ def ingest_incremental(
     ``transform`` selects or derives columns on the way. ``file_format`` is any file
     source of Spark. The header of a CSV file must name the schema's columns in order,
     else the load fails as a whole. For a feed with a new column, call again with the
-    longer schema and the same checkpoint.
+    longer schema and the same checkpoint. More new files than ``max_files_per_batch``
+    load in several batches, each whole or not at all.
     """
     added = 0
 
