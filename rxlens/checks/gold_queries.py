@@ -21,6 +21,10 @@ CHARGE = sum_cents("total_charge")
 MONTH = "CAST(date_trunc('month', claim_date) AS DATE)"
 
 
+def member_lines(t: StarTables) -> DataFrame:
+    return gold.member_lines(t.claims(with_provider=False), t.procedures(with_desc=False))
+
+
 # --- spend by pharmacy and channel -----------------------------------------------------
 
 CHANNEL_SUMMARY = f"""
@@ -164,7 +168,7 @@ def spend_trend_by_channel(t: StarTables) -> DataFrame:
         {trend_sql('procedure_code')}""",
 )
 def spend_trend_by_drug(t: StarTables) -> DataFrame:
-    return gold.spend_trend_by_drug(t.claims(with_provider=False), t.procedures(with_desc=False))
+    return gold.spend_trend_by_drug(member_lines(t))
 
 
 # --- decisions -------------------------------------------------------------------------
@@ -311,10 +315,8 @@ def member_summary(t: StarTables) -> DataFrame:
 
 
 def _high_cost(t: StarTables, ordered: bool) -> DataFrame:
-    lines = t.procedures(with_desc=False)
-    return gold.high_cost_members(
-        t.claims(with_provider=False), lines, t.members(), AS_OF, ordered=ordered
-    )
+    claims = t.claims(with_provider=False)
+    return gold.high_cost_members(claims, member_lines(t), t.members(), AS_OF, ordered=ordered)
 
 
 @query("high_cost_members", f"{HIGH_COST} SELECT * FROM high_cost")
@@ -363,9 +365,7 @@ def top_members(t: StarTables) -> DataFrame:
     """,
 )
 def drug_type_mix(t: StarTables) -> DataFrame:
-    return gold.drug_type_mix(
-        t.claims(with_provider=False), t.procedures(with_desc=False), t.members(), AS_OF
-    )
+    return gold.drug_type_mix(member_lines(t), t.members(), AS_OF)
 
 
 # --- per member per month --------------------------------------------------------------

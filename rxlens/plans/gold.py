@@ -165,11 +165,8 @@ def spend_trend_by_channel(claims: DataFrame, providers: DataFrame) -> DataFrame
     return trend(months, ["channel"])
 
 
-def spend_trend_by_drug(claims: DataFrame, procedures: DataFrame) -> DataFrame:
-    """Monthly trend per drug code, in line items and line amounts."""
-    lines = claims.select("claim_id", "claim_date").join(
-        procedures.select("claim_id", "procedure_code", "amount"), "claim_id"
-    )
+def spend_trend_by_drug(lines: DataFrame) -> DataFrame:
+    """Monthly trend per drug code over ``member_lines``, in line items and their amounts."""
     return trend(month_totals(lines, ["procedure_code"], amount="amount"), ["procedure_code"])
 
 
@@ -292,17 +289,24 @@ def member_percentiles(summary: DataFrame, exact: bool = True) -> DataFrame:
     return found.select(*[F.round(name, 4).alias(name) for name in SPEND_POINTS])
 
 
-def distinct_drugs(claims: DataFrame, procedures: DataFrame) -> DataFrame:
+def member_lines(claims: DataFrame, procedures: DataFrame) -> DataFrame:
+    """Drug lines with member and date of their claim.
+
+    This joins the two largest tables, and several reports start from it: store it once
+    where more than one of them is built. A report that does not reads only its columns.
+    """
+    headers = claims.select("claim_id", "member_id", "claim_date")
+    return headers.join(procedures.select("claim_id", "procedure_code", "amount"), "claim_id")
+
+
+def distinct_drugs(lines: DataFrame) -> DataFrame:
     """Different drugs per member."""
-    lines = claims.select("claim_id", "member_id").join(
-        procedures.select("claim_id", "procedure_code"), "claim_id"
-    )
     return summarise(lines, ["member_id"], {"distinct_drugs": F.count_distinct("procedure_code")})
 
 
 def high_cost_members(
     claims: DataFrame,
-    procedures: DataFrame,
+    lines: DataFrame,
     members: DataFrame,
     as_of: Day,
     exact: bool = True,
@@ -311,7 +315,7 @@ def high_cost_members(
 ) -> DataFrame:
     """Members at or above the 75th percentile of spend, with tier and drug count.
 
-    The member summary feeds the thresholds and the result; ``stage`` decides whether it
+    ``lines`` are ``member_lines``. The member summary feeds the thresholds and the result; ``stage`` decides whether it
     is written in between. Only members above the lowest threshold reach the joins.
     ``ordered=False`` saves the sort, by spend, when the result is stored or cut to a
     top list anyway.
@@ -320,9 +324,7 @@ def high_cost_members(
     costly = with_scalars(summary, member_percentiles(summary, exact)).where(
         F.col("total_drug_spend") >= F.col("p75_threshold")
     )
-    counted = join_default(
-        costly, distinct_drugs(claims, procedures), "member_id", {"distinct_drugs": 0}
-    )
+    counted = join_default(costly, distinct_drugs(lines), "member_id", {"distinct_drugs": 0})
     people = members.select(
         "member_id", "first_name", "last_name", "gender", "birth_date", "plan_id"
     )
@@ -351,22 +353,16 @@ def high_cost_members(
     return found.orderBy(F.desc("total_drug_spend"), "member_id") if ordered else found
 
 
-def drug_type_mix(
-    claims: DataFrame, procedures: DataFrame, members: DataFrame, as_of: Day
-) -> DataFrame:
-    """Drug-type mix by age band, gender and line of business.
+def drug_type_mix(lines: DataFrame, members: DataFrame, as_of: Day) -> DataFrame:
+    """Drug-type mix by age band, gender and line of business, over ``member_lines``.
 
     Lines are reduced to one row per member and drug type before the members join, so at
     most three rows per member reach it.
     """
     drug_type = band("amount", DRUG_TYPE_CUTS, DRUG_TYPE_LABELS)
-    lines = (
-        claims.select("claim_id", "member_id")
-        .join(procedures.select("claim_id", "amount"), "claim_id")
-        .withColumn("drug_type", drug_type)
-    )
+    typed_lines = lines.withColumn("drug_type", drug_type)
     per_member = summarise(
-        lines,
+        typed_lines,
         ["member_id", "drug_type"],
         {"lines": _rows(), "priced": F.count("amount"), "cents": F.sum(cents("amount"))},
     )

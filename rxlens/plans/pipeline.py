@@ -22,9 +22,11 @@ COMMENTS = {
     "claims": "Claim headers with a positive charge, by month",
     "providers": "Pharmacies; specialty is the channel",
     "procedures": "Drug lines, the dearest per claim and drug",
+    "member_lines": "Drug lines with member and date of their claim",
     "spend_by_provider": "Claims and spend per pharmacy",
     "channel_summary": "Claims and spend by channel and state",
     "spend_trend": "Monthly claims and spend with growth",
+    "spend_trend_by_drug": "Monthly lines and amounts per drug with growth",
     "decision_volume": "Claims by month and decision",
     "approval_by_lob": "Approval rate by month and line of business",
     "high_cost_members": "Members at or above the 75th percentile of spend",
@@ -94,20 +96,22 @@ def build_gold(
     end: Day,
     layers: Layers | None = None,
 ) -> dict[str, DataFrame]:
-    """Build the reports from silver tables; ``start`` and ``end`` bound the member months."""
+    """Build the reports from silver tables; ``start`` and ``end`` bound the member months.
+
+    The join of claims and lines is stored once for the three reports that start from it.
+    """
     layers = layers or Layers()
-    claims, members = tables["claims"], tables["members"]
-    providers, procedures = tables["providers"], tables["procedures"]
+    claims, members, providers = tables["claims"], tables["members"], tables["providers"]
+    lines = layers.save(gold.member_lines(claims, tables["procedures"]), "gold", "member_lines")
     reports = {
         "spend_by_provider": gold.spend_by_provider(claims, providers),
         "channel_summary": gold.channel_summary(claims, providers),
         "spend_trend": gold.spend_trend(claims),
         "decision_volume": gold.decision_volume(claims, members),
         "approval_by_lob": gold.approval_by_lob(claims, members),
-        "high_cost_members": gold.high_cost_members(
-            claims, procedures, members, as_of, ordered=False
-        ),
-        "drug_type_mix": gold.drug_type_mix(claims, procedures, members, as_of),
+        "spend_trend_by_drug": gold.spend_trend_by_drug(lines),
+        "high_cost_members": gold.high_cost_members(claims, lines, members, as_of, ordered=False),
+        "drug_type_mix": gold.drug_type_mix(lines, members, as_of),
         "pmpm": gold.pmpm(claims, members, start, end),
     }
     return {name: layers.save(df, "gold", name) for name, df in reports.items()}

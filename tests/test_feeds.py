@@ -221,3 +221,11 @@ def test_cached_is_released(spark):
     with reuse.cached(spark.range(5)) as kept:
         assert kept.count() == 5 and kept.storageLevel.useMemory
     assert not kept.storageLevel.useMemory
+
+
+@pytest.mark.parametrize("name", ["save_layer", "insert_rows", "stored_view"])
+def test_stored_tables_can_be_built_again(spark, sf_dir, name):
+    from rxlens.checks import QUERIES
+
+    first = rows(QUERIES[name](spark, sf_dir))
+    assert rows(QUERIES[name](spark, sf_dir)) == first

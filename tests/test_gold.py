@@ -107,7 +107,7 @@ def test_decisions_drop_unknown_members_and_keep_other_statuses(small):
 
 def test_drug_mix_bands_and_shares(small):
     claims, members, _, lines = small
-    got = rows(gold.drug_type_mix(claims, lines, members, "2024-12-31"))
+    got = rows(gold.drug_type_mix(gold.member_lines(claims, lines), members, "2024-12-31"))
     assert got == sorted(
         [
             ("18-34", "F", "A", "Generic (proxy)", 1, 1, 99.99, 99.99, 8.33, "Low credibility"),
@@ -126,14 +126,16 @@ def test_drug_mix_counts_a_member_once_per_cell(small, table):
     again = members.unionByName(
         table(MEMBERS, ("m2", "Bo", "Ray", day("1951-01-01"), "M", "B", day("2024-02-01")))
     )
-    mix = gold.drug_type_mix(claims, lines, again, "2024-12-31").where("drug_type LIKE 'Gen%'")
+    mix = gold.drug_type_mix(gold.member_lines(claims, lines), again, "2024-12-31")
+    mix = mix.where("drug_type LIKE 'Gen%'")
     got = {r["lob"]: (r["line_count"], r["member_count"]) for r in mix.collect()}
     assert got == {"A": (1, 1), "B": (2, 1)}
 
 
 def test_high_cost_members_without_drugs_count_zero(small):
     claims, members, _, lines = small
-    got = gold.high_cost_members(claims, lines.limit(0), members, "2024-12-31").collect()
+    none = gold.member_lines(claims, lines).where("false")
+    got = gold.high_cost_members(claims, none, members, "2024-12-31").collect()
     # Spend: m1 150.01, m2 30, m3 30, gone 40; the 75th percentile is 67.5025.
     assert [(r["member_id"], r["distinct_drugs"], r["polypharmacy_flag"]) for r in got] == [
         ("m1", 0, "Standard")
@@ -152,7 +154,8 @@ def test_tiers_include_their_threshold(table):
         MEMBERS, *[(f"m{i}", "", "", day("2000-01-01"), "F", "A", day("2023-01-01")) for i in range(101)]
     )
     lines = table(LINES, *[("c100", f"d{k}", "", 1.0) for k in range(10)], ("c99", "d", "", 1.0))
-    got = gold.high_cost_members(claims, lines, members, "2024-12-31").collect()
+    joined = gold.member_lines(claims, lines)
+    got = gold.high_cost_members(claims, joined, members, "2024-12-31").collect()
     tiers = defaultdict(list)
     for r in got:
         tiers[r["spend_tier"][:6]].append(r["total_drug_spend"])
@@ -165,7 +168,8 @@ def test_tiers_include_their_threshold(table):
 
 def test_staging_does_not_change_the_result(spark, sf_dir):
     t = StarTables(spark, sf_dir)
-    parts = (t.claims(False), t.procedures(False), t.members(), AS_OF)
+    lines = gold.member_lines(t.claims(False), t.procedures(False))
+    parts = (t.claims(False), lines, t.members(), AS_OF)
     staged = gold.high_cost_members(*parts)
     lazy = gold.high_cost_members(*parts, stage=lambda df: df)
     assert rows(staged) == rows(lazy)
