@@ -73,7 +73,12 @@ def query(name: str, oracle: str | None = None) -> Callable:
     def register(function: Callable[[StarTables], DataFrame]) -> Callable:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, sf_dir: function(StarTables(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return function(StarTables(spark, sf_dir))
+
+        run.__module__ = function.__module__
+        QUERIES[name] = run
         if oracle is not None:
             text = oracle.strip()
             glue = "" if text.upper().startswith("SELECT") else ","

@@ -72,7 +72,7 @@ def build_silver(
 ) -> dict[str, DataFrame]:
     """Clean every loaded feed. Claims are partitioned by month for date filters."""
     layers = layers or Layers()
-    raw = {feed: read_ingested(spark, f"{bronze}/{feed}") for feed in FEEDS}
+    raw = {feed: read_ingested(spark, f"{bronze}/{feed}", FEEDS[feed]) for feed in FEEDS}
     claims = silver.silver_claims(raw["claims"])
     return {
         "members": layers.save(silver.silver_members(raw["members"]), "silver", "members"),

@@ -63,6 +63,14 @@ def ingest_incremental(
     return added
 
 
-def read_ingested(spark: SparkSession, target: str, merge_schema: bool = True) -> DataFrame:
-    """The loaded rows; columns that older loads lacked are NULL there."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(target)
+def read_ingested(
+    spark: SparkSession, target: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The loaded rows; columns that older loads lacked are NULL there.
+
+    Give the feed's schema where the target is large. Without it the schemas of all files
+    are merged, which opens every file first.
+    """
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(target)
+    return spark.read.schema(schema).parquet(target)

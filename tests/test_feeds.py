@@ -45,8 +45,10 @@ def test_a_new_column_is_kept(spark, folders):
     ingest_incremental(spark, str(landing), target, V1, log)
     drop(landing, "b.csv", "id,x,flag\n2,2,new\n")
     assert ingest_incremental(spark, str(landing), target, V2, log) == 1
-    got = read_ingested(spark, target).select("id", "x", "flag")
-    assert rows(got) == [("1", 1.0, None), ("2", 2.0, "new")]
+    for schema in (None, V2):
+        got = read_ingested(spark, target, schema).select("id", "x", "flag")
+        assert rows(got) == [("1", 1.0, None), ("2", 2.0, "new")]
+    assert LOAD_ID in read_ingested(spark, target, V2).columns
 
 
 def test_a_reordered_header_fails_and_loads_nothing(spark, folders):

@@ -265,3 +265,24 @@ def test_hot_keys_change_nothing(spark):
     assert {k: (r["claim_count"], r["total_drug_spend"]) for k, r in got.items()} == {
         k: (count[k], spend[k] / 100) for k in spend
     }
+
+
+def test_shares_fill_their_group(spark, sf_dir):
+    """Rounded shares of a month or cell add up to a hundred, give or take the rounding."""
+    t = StarTables(spark, sf_dir)
+    volume = gold.decision_volume(t.claims(False), t.members())
+    mix = gold.drug_type_mix(gold.member_lines(t.claims(False), t.procedures(False)), t.members(), AS_OF)
+    for df, by, share in (
+        (volume, ["claim_month"], "pct_of_month"),
+        (mix, ["age_band", "gender", "lob"], "pct_of_cell_spend"),
+    ):
+        for row in df.groupBy(*by).agg(F.sum(share).alias("s")).collect():
+            assert abs(row["s"] - 100) <= 0.02
+
+
+def test_known_statuses_never_exceed_the_total(spark, sf_dir):
+    t = StarTables(spark, sf_dir)
+    rates = gold.approval_rate(gold.decision_volume(t.claims(False), t.members()))
+    known = F.col("approved") + F.col("denied") + F.col("pending")
+    assert rates.where(known > F.col("total_claims")).count() == 0
+    assert rates.agg(F.sum("total_claims")).first()[0] == t.claims(False).count()
