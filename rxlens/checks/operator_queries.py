@@ -295,9 +295,8 @@ def enriched(t: StarTables) -> DataFrame:
     """,
 )
 def lookup_join(t: StarTables) -> DataFrame:
-    dim = joins.broadcast_if_small(t.providers().select("provider_id", "specialty"))
     claims = t.claims().select("claim_id", "provider_id")
-    return joins.lookup(claims, dim, "provider_id", "specialty", UNKNOWN_LABEL)
+    return joins.lookup(claims, t.providers(), "provider_id", "specialty", UNKNOWN_LABEL)
 
 
 @query(
@@ -864,9 +863,7 @@ PAST = "(PARTITION BY channel ORDER BY claim_month ROWS BETWEEN 6 PRECEDING AND
     """,
 )
 def anomalies(t: StarTables) -> DataFrame:
-    places = t.providers().select("provider_id", F.col("specialty").alias("channel"))
-    joined = t.claims().join(places, "provider_id", "left")
-    months = gold.month_totals(joined, ["channel"]).drop("cents")
+    months = gold.channel_months(t.claims(), t.providers()).drop("cents")
     return flag_anomalies(months, "claim_month", "claim_count", ["channel"], 6, 2.5)
 
 

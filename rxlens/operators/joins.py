@@ -32,11 +32,12 @@ def lookup(
 ) -> DataFrame:
     """Add ``value`` from a code table; rows without a match get ``default``.
 
-    The code table is reduced to one row per key first, so rows never multiply.
+    The code table is reduced to one row per key first, so rows never multiply, and is
+    broadcast if it is small.
     """
     keys = [on] if isinstance(on, str) else list(on)
     codes = dim.groupBy(*keys).agg(F.min(value).alias(value))
-    return join_default(df, codes, keys, {value: default})
+    return join_default(df, broadcast_if_small(codes), keys, {value: default})
 
 
 def join_default(

@@ -157,12 +157,16 @@ def spend_trend(claims: DataFrame, by: Sequence[str] = (), calendar: bool = Fals
     return trend(month_totals(claims, by), by, calendar)
 
 
-def spend_trend_by_channel(claims: DataFrame, providers: DataFrame) -> DataFrame:
-    """Monthly trend per channel, from totals per pharmacy and month."""
+def channel_months(claims: DataFrame, providers: DataFrame) -> DataFrame:
+    """``month_totals`` per channel, from totals per pharmacy and month."""
     places = providers.select("provider_id", F.col("specialty").alias("channel"))
     joined = month_totals(claims, ["provider_id"]).join(places, "provider_id", "left")
-    months = resummarise(joined, ["claim_month", "channel"], ["claim_count", "cents"])
-    return trend(months, ["channel"])
+    return resummarise(joined, ["claim_month", "channel"], ["claim_count", "cents"])
+
+
+def spend_trend_by_channel(claims: DataFrame, providers: DataFrame) -> DataFrame:
+    """Monthly trend per channel."""
+    return trend(channel_months(claims, providers), ["channel"])
 
 
 def spend_trend_by_drug(lines: DataFrame) -> DataFrame:
