@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,20 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder all executors reach, as the cluster names it; None when it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.sparkContext.getCheckpointDir()
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run, inside the shared folder.
 
-    Only a local master, whose executors are this machine, may use a temporary folder.
+    Where the session names no such folder it lies in the warehouse, which every executor
+    of a session reaches as well.
     """
-    base = shared_dir(spark)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
-        base = tempfile.mkdtemp(prefix="rxlens-")
+    base = shared_dir(spark) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
