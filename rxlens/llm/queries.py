@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import repeats
+from rxlens.llm import repeats, simhash
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -13,3 +13,8 @@ __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 @query("op4_suffix_array_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
