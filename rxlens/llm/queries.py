@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import repeats, simhash
+from rxlens.llm import bpe, repeats, simhash
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -15,6 +16,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.round_trip_report(docs, RANKS, public_tokenizers.PATTERN)
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
