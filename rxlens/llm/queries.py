@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import bpe, repeats, simhash
+from rxlens.llm import bpe, decontam, repeats, simhash
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -16,6 +16,49 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
 
 
+# The whole of both tables, with windows as text; DuckDB joins them by their words.
+OP5_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT item, item_id, w, least(10, len(w)) AS n,
+         unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS s
+  FROM b WHERE len(w) > 0),
+windows AS (SELECT item, item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win FROM bw),
+dw AS (
+  SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+  FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+found AS (
+  SELECT DISTINCT r, s, dw.n AS n, item, item_id
+  FROM dw JOIN windows ON windows.n = dw.n AND windows.win = array_to_string(w[s:s + dw.n - 1], ' ')),
+places AS (SELECT r, unnest(generate_series(s, s + n - 1)) AS p FROM found),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM places GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op5_benchmark_decontamination", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 

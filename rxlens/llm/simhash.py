@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rxlens.llm.arrow import text_mark
 from rxlens.operators.reuse import checkpoint_stage
 
 SHINGLE = 3
@@ -62,11 +63,6 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def text_mark(doc_id: Column, text: Column) -> Column:
-    """Names a row's text together with its id, where ids repeat."""
-    return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
-
-
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``mark`` (see ``text_mark``) and ``fp`` of every whole text."""
 
