@@ -5,12 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import bpe, decontam, repeats, simhash
+from rxlens.llm import bpe, decontam, repeats, simhash, toxicity
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 @query("op4_suffix_array_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
