@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import bpe, decontam, repeats, simhash, toxicity
+from rxlens.llm import bpe, decontam, repeats, sharding, simhash, toxicity
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -75,6 +75,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_report(docs, RANKS, public_tokenizers.PATTERN)
 
 
+@query("op9_hilbert_sharding")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
