@@ -59,3 +59,15 @@ def map_texts(
 def text_mark(doc_id: Column, text: Column) -> Column:
     """Names a row's text together with its id, where ids repeat."""
     return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
+
+
+def agreed_labels(labels: DataFrame, column: str) -> DataFrame:
+    """``doc_id`` and the label as a flag, for ids whose label rows all say the same."""
+    return (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("label"))
+        .filter("doc_id is not null and label is not null")
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("a"), F.max("label").alias("b"))
+        .filter("a = b")
+        .select("doc_id", (F.col("a") > 0).alias(column))
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import bpe, decontam, repeats, sharding, simhash, toxicity
+from rxlens.llm import bpe, decontam, language, quality, repeats, sharding, simhash, toxicity
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -66,6 +66,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 

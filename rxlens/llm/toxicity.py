@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import batch_of, plain_texts
+from rxlens.llm.arrow import agreed_labels, batch_of, plain_texts
 from rxlens.operators.reuse import checkpoint_stage
 
 ORDER = 3
@@ -258,11 +258,8 @@ def held_out(doc_id: Column) -> Column:
 def _sample(docs: DataFrame, labels: DataFrame, max_docs: int, salt: int) -> DataFrame:
     """``doc_id``, ``toxic`` and ``text`` of at most ``max_docs`` labelled documents a class."""
     known = (
-        labels.filter("doc_id is not null and toxic is not null")
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min("toxic").alias("a"), F.max("toxic").alias("toxic"))
-        .filter((F.col("a") == F.col("toxic")) & ~held_out(F.col("doc_id")))
-        .select("doc_id", (F.col("toxic") > 0).alias("toxic"))
+        agreed_labels(labels, "toxic")
+        .filter(~held_out(F.col("doc_id")))
         .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     )
     order = F.xxhash64("doc_id", F.lit(salt))
@@ -271,8 +268,8 @@ def _sample(docs: DataFrame, labels: DataFrame, max_docs: int, salt: int) -> Dat
         for of in (True, False)
     ]
     chosen = checkpoint_stage(chosen[0].unionByName(chosen[1]))
-    # At most twice max_docs rows of an id and a flag.
-    return plain_texts(docs).join(F.broadcast(chosen), "doc_id")
+    # At most twice max_docs rows of an id and a flag; of an id that repeats, any one text.
+    return plain_texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
 _SENTENCES = "doc_id long, toxic boolean, words array<string>"
