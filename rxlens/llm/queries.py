@@ -5,12 +5,38 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxlens.llm import bpe, decontam, language, quality, repeats, sharding, simhash, toxicity
+from rxlens.llm import (
+    bpe,
+    chat,
+    decontam,
+    language,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+)
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Both texts of the conversation that the query adds; it looks like a turn of the template.
+HARD_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query("op1_chat_formatting")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.createDataFrame(
+        [(-7, 0, "user", HARD_TEXT), (-7, 1, "assistant", HARD_TEXT)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_turns(rows.unionByName(hard)))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(
@@ -18,6 +44,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokens.count_sections(docs, RANKS, public_tokenizers.PATTERN)
+
+
 @query("op4_suffix_array_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf_dir, "documents"))
@@ -78,9 +110,6 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-
-
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
