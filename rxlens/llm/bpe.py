@@ -343,6 +343,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return map_texts(docs, start, "ids array<int>")
 
 
+def encode_checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``text_sha256`` of every whole text.
+
+    The ids are decoded again; a text that does not come back fails the job.
+    """
+
+    def start() -> Callable[[str], tuple]:
+        codec = Codec(read_ranks(ranks_path), pattern)
+
+        def row(text: str) -> tuple:
+            ids = codec.encode(text)
+            machine = Utf8Decoder()
+            back = "".join([machine.push(part) for part in codec.decode_bytes(ids)])
+            if back + machine.end() != text:
+                raise ValueError("a text changed on its way through the tokens")
+            return len(ids), ids, hashlib.sha256(text.encode()).hexdigest()
+
+        return row
+
+    return map_texts(docs, start, "n_tokens long, ids array<int>, text_sha256 string")
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id`` and ``text`` from ``ids``; bytes that are no UTF-8 become U+FFFD."""
 
