@@ -49,11 +49,13 @@ from rxlens.llm.arrow import agreed_labels, batch_of, plain_texts
 from rxlens.operators.reuse import checkpoint_stage
 
 ORDER = 3
-DECAY = 0.7
+DECAY = 0.5
 LONGEST = 40
 MAX_DOCS = 4000
 MAX_SENTENCES = 20_000
-LANDMARKS = 96
+LANDMARKS = 192
+#: Rounds of choosing words and adding landmarks where the machine errs.
+TURNS = 6
 #: Log-likelihood ratio from which a word is held to be tied to toxic documents.
 CERTAIN = 25.0
 THRESHOLD = 0.7
@@ -316,15 +318,28 @@ def train(
 ) -> Model:
     sample = _sample(docs, labels, max_docs, 1)
     sentences = checkpoint_stage(sample.mapInArrow(_sentences, _SENTENCES))
+    # Copies are no evidence: a word counts once per context, which is the word of its sentence
+    # with the smallest hash (of the others). Copies share that even where they were edited.
+    hashes = F.array_sort(F.transform("words", lambda w: F.xxhash64(w)))
+    sentences = checkpoint_stage(
+        sentences.filter(F.size("words") > 0).withColumns(
+            {"h1": F.get(hashes, F.lit(0)), "h2": F.coalesce(F.get(hashes, F.lit(1)), F.lit(0))}
+        )
+    )
     # Not more than two rows.
     n_docs = {
         r["toxic"]: r["n"]
-        for r in sentences.groupBy("toxic").agg(F.countDistinct("doc_id").alias("n")).collect()
+        for r in sentences.groupBy("toxic").agg(F.countDistinct("h1").alias("n")).collect()
     }
     n1, n0 = n_docs.get(True, 0), n_docs.get(False, 0)
     if not n1 or not n0:
         return _constant(n1, n0)
-    seen = sentences.select("doc_id", "toxic", F.explode("words").alias("word")).distinct()
+    context = F.when(F.xxhash64("word") == F.col("h1"), F.col("h2")).otherwise(F.col("h1"))
+    seen = (
+        sentences.select("toxic", "h1", "h2", F.explode("words").alias("word"))
+        .select("toxic", "word", context.alias("context"))
+        .distinct()
+    )
     words = seen.groupBy("word").agg(
         F.sum(F.col("toxic").cast("int")).alias("in_toxic"),
         F.sum((~F.col("toxic")).cast("int")).alias("in_clean"),
@@ -346,7 +361,6 @@ def train(
         of: [
             r["words"]
             for r in sentences.filter(F.col("toxic") == of)
-            .filter(F.size("words") > 0)
             .filter(F.arrays_overlap("words", F.lit(strong)) if of else F.lit(True))
             .orderBy(order)
             .limit(max_sentences)
@@ -359,31 +373,40 @@ def train(
         return _constant(n1, n0)
     often = Counter(w for bag in bags[False] for w in bag)
     clean, held = sorted(often), sorted({w for bag in bags[True] for w in bag})
-    tied = _spread(strong, landmarks * 2 // 3)
+    tied = _spread(strong, landmarks // 2)
     like = kernel(clean, tied).max(axis=1)
-    near = [clean[i] for i in np.argsort(-like)[: landmarks // 6]]
-    common = [w for w, _ in often.most_common(landmarks // 6)]
+    near = [clean[i] for i in np.argsort(-like)[: landmarks // 8]]
+    common = [w for w, _ in often.most_common(landmarks // 8)]
     marks = sorted(set(tied) | set(near) | set(common))
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
-    use = values > 1e-6
-    root = vectors[:, use] / np.sqrt(values[use])
     place = {w: i for i, w in enumerate(held)}
-    x_clean, x_held = kernel(clean, marks) @ root, kernel(held, marks) @ root
     witness = [max(bag, key=lambda w: (tie.get(w, -1.0), w)) for bag in bags[True]]
-    w = None
-    for _ in range(4):
+    k_clean, k_held = kernel(clean, marks), kernel(held, marks)
+    seen_often = np.sqrt([often[w] for w in clean])
+    for turn in range(TURNS):
+        values, vectors = np.linalg.eigh(kernel(marks, marks))
+        use = values > 1e-6
+        root = vectors[:, use] / np.sqrt(values[use])
+        x_clean, x_held = k_clean @ root, k_held @ root
         times = np.bincount([place[v] for v in witness], minlength=len(held)).astype(float)
         on = times > 0
         x = np.vstack([x_held[on], x_clean])
         y = np.concatenate([np.ones(on.sum()), -np.ones(len(clean))])
-        weight = np.concatenate([np.log1p(times[on]), np.ones(len(clean))])
-        weight[: on.sum()] *= max(1.0, len(clean) / 4 / weight[: on.sum()].sum())
+        weight = np.concatenate([np.log1p(times[on]), seen_often])
+        weight[: on.sum()] *= max(1.0, seen_often.sum() / 20 / weight[: on.sum()].sum())
         w = _fit_svm(x, y, weight)
         scored = x_held @ w[:-1]
         again = [max(bag, key=lambda v: scored[place[v]]) for bag in bags[True]]
-        if again == witness:
+        # Clean words that the machine takes for toxic become landmarks themselves.
+        wrong = x_clean @ w[:-1] + w[-1]
+        order = [clean[i] for i in np.argsort(-wrong)[:landmarks] if wrong[i] > -0.5]
+        more = [m for m in _spread(order, landmarks // 8) if m not in marks]
+        if turn == TURNS - 1 or (again == witness and not more):
             break
         witness = again
+        if more:
+            marks = marks + more
+            k_clean = np.hstack([k_clean, kernel(clean, more)])
+            k_held = np.hstack([k_held, kernel(held, more)])
     model = Model(_table(marks, root @ w[:-1]), float(w[-1]), (1.0, 0.0, 0.0))
     judged = _evidence(_sample(docs, labels, max_docs, 2), model, ["toxic"]).collect()
     x = np.array([(r["top"], r["more"]) for r in judged])
