@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxlens.operators.rows import dedup_best
@@ -25,18 +25,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     source keys, so a small batch is broadcast and a large target never shuffles. NULL
     keys match nothing. A key that occurs twice in the source raises.
     """
-    seen = F.col("__rows")
-    twice = F.raise_error(F.lit(f"upsert: duplicate source key in {list(keys)}"))
-    source_keys = (
-        source.select(*keys)
-        .dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.when(seen > 1, twice.cast("boolean")).otherwise(F.lit(True)))
-        .drop("__rows")
-    )
-    untouched = target.join(source_keys, list(keys), "left_anti").select(*target.columns)
-    return untouched.unionByName(source)
+    names = list(keys)
+    source_keys = source.select(*names).dropna(subset=names).distinct()
+    untouched = target.join(source_keys, names, "left_anti").select(*target.columns)
+    # The check rides on the rows that are returned, so no target can make it drop out.
+    known = F.lit(True)
+    for name in names:
+        known = known & F.col(name).isNotNull()
+    twice = F.raise_error(F.lit(f"upsert: duplicate source key in {names}")).cast("boolean")
+    turn = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
+    checked = source.where(known).withColumn("__turn", turn)
+    once = checked.where(F.when(F.col("__turn") > 1, twice).otherwise(F.lit(True)))
+    added = once.drop("__turn").unionByName(source.where(~known))
+    return untouched.unionByName(added)
 
 
 def update_where(df: DataFrame, cond: Column, values: Mapping[str, Column]) -> DataFrame:

@@ -29,8 +29,9 @@ from rxlens.functions import (
     total_money,
 )
 from rxlens.operators.aggregates import count_when, monthly, percentiles, resummarise, summarise
-from rxlens.operators.joins import join_default, with_lob, with_scalars
+from rxlens.operators.joins import in_subquery, join_default, with_lob, with_scalars
 from rxlens.operators.reuse import stage_if_shared
+from rxlens.operators.rows import dedup_best
 from rxlens.operators.trend import moving_avg, prior_value, share_pct
 from rxlens.values import (
     AGE_CUTS,
@@ -328,7 +329,8 @@ def high_cost_members(
     costly = with_scalars(summary, member_percentiles(summary, exact)).where(
         F.col("total_drug_spend") >= F.col("p75_threshold")
     )
-    counted = join_default(costly, distinct_drugs(lines), "member_id", {"distinct_drugs": 0})
+    theirs = in_subquery(lines, costly, "member_id")
+    counted = join_default(costly, distinct_drugs(theirs), "member_id", {"distinct_drugs": 0})
     people = members.select(
         "member_id", "first_name", "last_name", "gender", "birth_date", "plan_id"
     )
@@ -418,13 +420,33 @@ def pmpm(claims: DataFrame, members: DataFrame, start: Day, end: Day) -> DataFra
     """Spend and claims per member month, by month and line of business.
 
     Months with members but without claims show zero. Claims outside the range of months
-    do not count.
+    do not count; their dates (and the month partition, where claims have one) are filtered
+    in the scan. A member with several versions counts once, by the latest; members without
+    a line of business are a line of their own.
     """
-    exposure = member_months(members, start, end).select(
+    people = dedup_best(members, ["member_id"], [F.desc("effective_date"), F.asc("plan_id")])
+    exposure = member_months(people, start, end).select(
         F.col("member_month").alias("claim_month"), F.col("plan_id").alias("lob"), "member_months"
     )
-    spend = month_totals(with_lob(claims, members), ["lob"])
-    rates = join_default(exposure, spend, ["claim_month", "lob"], {"claim_count": 0, "cents": 0})
+    first = F.trunc(as_date(start), "MM")
+    last = F.last_day(as_date(end))
+    dated = claims.where(F.col("claim_date").between(first, last))
+    if "claim_month" in claims.columns:
+        dated = dated.where(F.col("claim_month").between(first, last))
+    # One row per member and month meets the members.
+    per_member = month_totals(dated, ["member_id"])
+    lobs = people.select("member_id", F.col("plan_id").alias("lob"))
+    spend = summarise(
+        per_member.join(lobs, "member_id"),
+        ["claim_month", "lob"],
+        {"claim_count": F.sum("claim_count"), "cents": F.sum("cents")},
+    ).select(
+        F.col("claim_month").alias("__month"), F.col("lob").alias("__lob"), "claim_count", "cents"
+    )
+    same = (F.col("claim_month") == F.col("__month")) & F.col("lob").eqNullSafe(F.col("__lob"))
+    rates = exposure.join(spend, same, "left").withColumns(
+        {name: F.coalesce(F.col(name), F.lit(0)) for name in ("claim_count", "cents")}
+    )
     return rates.select(
         "claim_month",
         "lob",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -24,7 +25,8 @@ def save_layer(
 
     ``partition_by`` should have few values (a month, not a day). Rows are gathered by
     partition first, so a task does not open one file per value; adaptive execution
-    splits a value that holds many rows over several tasks.
+    splits a value that holds many rows over several tasks. A failed overwrite leaves the
+    table as it was; see ``publish``.
     """
     if layer not in LAYERS:
         raise ValueError(f"layer must be one of {LAYERS}")
@@ -32,19 +34,64 @@ def save_layer(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
     table = f"{layer}.{name}"
     partitions = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
-    writer = df.write
-    if partitions:
-        gathered = df.hint("rebalance", *[F.col(column) for column in partitions])
-        writer = gathered.write.partitionBy(*partitions)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.format("parquet").mode(mode).saveAsTable(table)
+    if mode == "overwrite":
+        publish(df, table, partitions, path)
+    else:
+        writer = _gathered(df, partitions).write
+        writer = writer.partitionBy(*partitions) if partitions else writer
+        if path is not None and not spark.catalog.tableExists(table):
+            writer = writer.option("path", path)
+        writer.format("parquet").mode(mode).saveAsTable(table)
     if comment is not None:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")
     return spark.table(table)
 
 
+def _gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(column) for column in partitions]) if partitions else df
+
+
+def publish(
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Make ``df`` the new state of a stored table.
+
+    The rows go to a fresh folder first (under ``path``, or in the warehouse); the table is
+    pointed there when the write is done. So ``df`` may read the table itself, a write that
+    fails changes nothing, and the files of the state before stay for plans that still read
+    them, until the owner of the folder expires them. One writer at a time.
+    """
+    spark = df.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/_tables/{table}"
+    fresh = f"{base.rstrip('/')}/state-{uuid.uuid4().hex}"
+    writer = _gathered(df, partition_by).write
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    writer.mode("error").parquet(fresh)
+    quoted = ".".join(f"`{part}`" for part in table.split("."))
+    stored = spark.read.parquet(fresh)
+    if spark.catalog.tableExists(table):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()
+        external = any(r["col_name"] == "Type" and r["data_type"] == "EXTERNAL" for r in described)
+        if external and not partition_by and spark.table(table).dtypes == stored.dtypes:
+            spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{fresh}'")
+        else:
+            # Another schema, a table that owns its files, or one whose partitions the catalog
+            # lists by their old folders: make it anew at the new files, which are complete.
+            spark.sql(f"DROP TABLE {quoted}")
+            spark.catalog.createTable(table, path=fresh, source="parquet")
+    else:
+        spark.catalog.createTable(table, path=fresh, source="parquet")
+    by_catalog = any(
+        r["col_name"] == "Partition Provider" and r["data_type"] == "Catalog"
+        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()
+    )
+    if partition_by and by_catalog:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def insert_rows(spark: SparkSession, table: str, rows: Sequence[Row | tuple]) -> None:
     """Append a few literal rows to a stored table."""
     schema = spark.table(table).schema
@@ -87,11 +134,10 @@ def compact(
 def write_history(
     changes: DataFrame, path: str, batch_ts: dt.datetime | dt.date, ts_col: str = "batch_ts"
 ) -> None:
-    """Append a batch to a history table; writing the same batch again replaces it."""
-    (
-        changes.withColumn(ts_col, F.lit(batch_ts))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(ts_col)
-        .parquet(path)
-    )
+    """Append a batch to a history table; writing the same batch again replaces it.
+
+    The batch's own partition folder is overwritten, so an empty batch empties it.
+    """
+    stamp = F.lit(batch_ts).cast("string")
+    value = changes.sparkSession.range(1).select(stamp).first()[0].replace(":", "%3A")
+    changes.drop(ts_col).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{ts_col}={value}")

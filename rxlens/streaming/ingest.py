@@ -3,7 +3,9 @@
 A file stream with ``availableNow`` finds the new files; its checkpoint remembers the old
 ones. Every micro-batch replaces its own ``load_id`` partition of the target, named after
 the checkpoint and the batch number, so a batch that is retried after a crash leaves no
-half-written and no double rows. Files become visible when the batch's write commits.
+half-written and no double rows. A load is one batch: all of its files become visible when
+its write commits, or none. Files are told by name, never by age, so one that arrives late or
+keeps an old modification time is loaded like any other.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD_ID = "load_id"
+#: Spark ignores files older than this against the newest one seen; no file may be.
+ANY_AGE = "36500d"
 
 
 def ingest_incremental(
@@ -26,15 +30,13 @@ def ingest_incremental(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     sep: str = ",",
     file_format: str = "csv",
-    max_files_per_batch: int = 10_000,
 ) -> int:
     """Append the rows of new files under ``src`` to ``target``; returns rows added.
 
     ``transform`` selects or derives columns on the way. ``file_format`` is any file
     source of Spark. The header of a CSV file must name the schema's columns in order,
     else the load fails as a whole. For a feed with a new column, call again with the
-    longer schema and the same checkpoint. More new files than ``max_files_per_batch``
-    load in several batches, each whole or not at all.
+    longer schema and the same checkpoint.
     """
     added = 0
 
@@ -47,7 +49,7 @@ def ingest_incremental(
         counted.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_ID}={load_id}")
         added += seen.get["rows"]
 
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if file_format == "csv":
         reader = reader.options(header=True, sep=sep, enforceSchema=False)
     feed = reader.format(file_format).load(src)

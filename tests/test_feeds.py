@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -72,14 +74,36 @@ def test_a_batch_that_is_run_again_replaces_itself(spark, folders, tmp_path):
     assert rows(read_ingested(spark, target).select("id")) == [("1",)]
 
 
-def test_many_files_in_small_batches(spark, folders):
+def test_many_files_are_one_load(spark, folders):
     landing, target, log = folders
     for i in range(5):
         drop(landing, f"{i}.csv", f"id,x\n{i},1\n")
-    added = ingest_incremental(spark, str(landing), target, V1, log, max_files_per_batch=2)
-    assert added == 5
+    assert ingest_incremental(spark, str(landing), target, V1, log) == 5
     got = read_ingested(spark, target)
-    assert got.count() == 5 and got.select(LOAD_ID).distinct().count() == 3
+    assert got.count() == 5 and got.select(LOAD_ID).distinct().count() == 1
+
+
+def test_a_load_that_fails_half_way_shows_nothing(spark, folders):
+    landing, target, log = folders
+    for i in range(5):
+        drop(landing, f"{i}.csv", f"id,x\n{i},1\n")
+    drop(landing, "5.csv", "wrong,header\n5,1\n")
+    with pytest.raises(Exception):
+        ingest_incremental(spark, str(landing), target, V1, log)
+    assert not list(Path(target).glob(f"{LOAD_ID}=*/*.parquet"))
+
+
+def test_a_file_with_an_old_time_is_loaded(spark, folders):
+    landing, target, log = folders
+    drop(landing, "a.csv", "id,x\n1,1\n")
+    assert ingest_incremental(spark, str(landing), target, V1, log) == 1
+    drop(landing, "b.csv", "id,x\n2,1\n")
+    old = time.time() - 8 * 86_400
+    os.utime(Path(landing) / "b.csv", (old, old))
+    assert ingest_incremental(spark, str(landing), target, V1, log) == 1
+    drop(landing, "c.csv", "id,x\n3,1\n")
+    assert ingest_incremental(spark, str(landing), target, V1, log) == 1
+    assert rows(read_ingested(spark, target).select("id")) == [("1",), ("2",), ("3",)]
 
 
 def test_projection_and_lineage_during_the_load(spark, folders):
@@ -231,3 +255,30 @@ def test_stored_tables_can_be_built_again(spark, sf_dir, name):
 
     first = rows(QUERIES[name](spark, sf_dir))
     assert rows(QUERIES[name](spark, sf_dir)) == first
+
+
+def test_a_failed_overwrite_leaves_the_table(spark, table, tmp_path):
+    for name, path in (("owned_test", None), ("placed_test", str(tmp_path / "t"))):
+        df = table("x int, m int", (1, 1), (2, 2))
+        layers.save_layer(df, "silver", name, path=path)
+        bad = df.withColumn("x", F.raise_error(F.lit("stop")).cast("int"))
+        with pytest.raises(Exception, match="stop"):
+            layers.save_layer(bad, "silver", name, path=path)
+        assert rows(spark.table(f"silver.{name}")) == [(1, 1), (2, 2)]
+
+
+def test_publish_may_read_the_table_it_replaces(spark, table):
+    layers.save_layer(table("x int", (1,), (2,)), "silver", "swap_test")
+    more = spark.table("silver.swap_test").withColumn("x", F.col("x") + 1)
+    assert rows(layers.publish(more, "silver.swap_test")) == [(2,), (3,)]
+    assert rows(layers.publish(more.selectExpr("x", "x AS y"), "silver.swap_test")) != []
+
+
+def test_an_empty_batch_replaces_its_history(spark, table, tmp_path):
+    path, day = str(tmp_path / "h"), dt.date(2025, 1, 2)
+    layers.write_history(table("k int", (1,)), path, day)
+    layers.write_history(table("k int", (2,)), path, dt.date(2025, 1, 3))
+    layers.write_history(table("k int", (1,)).limit(0), path, day)
+    assert rows(spark.read.parquet(path).select("k")) == [(2,)]
+    layers.write_history(table("k int", (5,)), path, dt.datetime(2025, 1, 3, 4, 5))
+    assert spark.read.parquet(path).count() == 2

@@ -196,6 +196,29 @@ def test_pmpm_shows_months_without_claims(small):
     ]
 
 
+def test_pmpm_keeps_members_without_a_line_and_counts_versions_once(table):
+    members = table(
+        MEMBERS,
+        ("m1", "Ann", "Lee", day("1990-06-30"), "F", None, day("2024-01-01")),
+        ("m2", "Bo", "Ray", day("1950-06-30"), "M", "A", day("2023-01-01")),
+        ("m2", "Bo", "Ray", day("1950-06-30"), "M", "B", day("2024-01-01")),
+    )
+    claims = table(
+        CLAIMS,
+        ("c1", "m1", "p1", day("2024-01-05"), 10.0, "approved"),
+        ("c2", "m2", "p1", day("2024-01-31"), 10.0, "approved"),
+        ("c3", "m2", "p1", day("2024-02-01"), 99.0, "approved"),
+    )
+    got = rows(gold.pmpm(claims, members, "2024-01-01", "2024-01-01"))
+    assert got == sorted(
+        [
+            (day("2024-01-01"), None, 1, 1, 10.0, 10.0, 1.0),
+            (day("2024-01-01"), "B", 1, 1, 10.0, 10.0, 1.0),
+        ],
+        key=repr,
+    )
+
+
 def test_pre_post_splits_the_event_month(table):
     df = table(
         "k string, claim_date date, total_charge double",

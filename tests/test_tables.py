@@ -37,6 +37,16 @@ def test_upsert_rejects_duplicate_source_keys(table):
         tables.upsert(target, table(KV, (2, "x"), (2, "y")), ["k"]).collect()
 
 
+def test_upsert_rejects_duplicates_for_an_empty_target(spark, table):
+    empty = table(KV, (1, "a")).limit(0)
+    literal = spark.createDataFrame([], KV)
+    for target in (empty, literal):
+        with pytest.raises(Exception, match="duplicate source key"):
+            tables.upsert(target, table(KV, (1, "x"), (1, "y")), ["k"]).collect()
+        got = tables.upsert(target, table(KV, (None, "x"), (None, "x"), (2, "y")), ["k"])
+        assert got.count() == 3
+
+
 def test_upsert_takes_columns_by_name(table):
     got = tables.upsert(table(KV, (1, "a")), table("v string, k int", ("z", 1)), ["k"])
     assert rows(got) == [(1, "z")]
