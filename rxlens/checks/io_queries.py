@@ -176,13 +176,19 @@ def feed_inventory(t: StarTables) -> DataFrame:
 
 @query(
     "with_lineage",
-    "SELECT claim_id, true AS has_source FROM claims",
+    "SELECT claim_status, count(*) AS claims, count(*) AS with_source FROM claims GROUP BY ALL",
 )
 def lineage(t: StarTables) -> DataFrame:
     path = scratch_path(t.spark, "lineage")
     t.claims(with_provider=False).write.parquet(path)
     tagged = feeds.with_lineage(t.spark.read.parquet(path))
-    return tagged.select("claim_id", F.col("source_file").endswith(".parquet").alias("has_source"))
+    files = t.spark.read.parquet(path).select(F.col("_metadata.file_name").alias("source_file"))
+    known = tagged.join(files.distinct(), "source_file", "left_semi")
+    counts = known.groupBy("claim_status").agg(F.count(F.lit(1)).alias("with_source"))
+    every = tagged.groupBy("claim_status").agg(F.count(F.lit(1)).alias("claims"))
+    return every.join(counts, every["claim_status"].eqNullSafe(counts["claim_status"])).select(
+        every["claim_status"], "claims", "with_source"
+    )
 
 
 @query(

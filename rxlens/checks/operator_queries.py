@@ -37,6 +37,7 @@ from rxlens.operators.trend import (
     with_lead,
 )
 from rxlens.plans import gold
+from rxlens.sources import layers
 from rxlens.sources.star import AS_OF, StarTables, channel_code
 from rxlens.values import CHANNEL_CODES, RISK_CUTS, RISK_LABELS, UNKNOWN_LABEL
 
@@ -468,6 +469,21 @@ def upsert_claims(t: StarTables) -> DataFrame:
     return tables.upsert(old, new, ["claim_id"])
 
 
+@query(
+    "stored_upsert",
+    f"""{STATES}
+    SELECT * FROM new_state
+    UNION ALL SELECT * FROM old_state WHERE claim_id NOT IN (SELECT claim_id FROM new_state)
+    """,
+)
+def stored_upsert(t: StarTables) -> DataFrame:
+    """The same on a stored table: its new state is published over the one it is read from."""
+    old, new = states(t)
+    table = "silver.rxlens_check_upsert"
+    stored = layers.save_layer(old, "silver", "rxlens_check_upsert")
+    return layers.publish(tables.upsert(stored, new, ["claim_id"]), table)
+
+
 @query(
     "update_where",
     """
