@@ -32,6 +32,9 @@ HEADLINE = (
     "claims_enriched",
     "upsert",
     "change_feed",
+    "spend_trend_by_drug",
+    "top_members",
+    "medallion_channels",
 )
 RUNS = 3
 

@@ -6,14 +6,14 @@ out once and a lost executor costs no finished table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rxlens.functions import first_of_month
 from rxlens.plans import gold, silver
 from rxlens.plans.gold import Day
-from rxlens.sources.feeds import FEEDS
+from rxlens.sources.feeds import FEEDS, schema_once
 from rxlens.sources.layers import save_layer
 from rxlens.streaming import ingest_incremental, read_ingested
 
@@ -36,14 +36,25 @@ COMMENTS = {
 
 
 def load_bronze(
-    spark: SparkSession, landing: str, bronze: str, checkpoints: str
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    checkpoints: str,
+    inferred: Sequence[str] = (),
 ) -> dict[str, int]:
-    """Load the new files of every feed folder under ``landing``; rows added per feed."""
+    """Load the new files of every feed folder under ``landing``; rows added per feed.
+
+    ``inferred`` names further feeds, like diagnosis, that have no schema of their own: theirs
+    is inferred at the first load, kept beside the checkpoint, and holds from then on.
+    """
+    schemas = dict(FEEDS)
+    for feed in inferred:
+        schemas[feed] = schema_once(spark, f"{landing}/{feed}", f"{checkpoints}/{feed}-schema")
     return {
         feed: ingest_incremental(
             spark, f"{landing}/{feed}", f"{bronze}/{feed}", schema, f"{checkpoints}/{feed}"
         )
-        for feed, schema in FEEDS.items()
+        for feed, schema in schemas.items()
     }
 
 

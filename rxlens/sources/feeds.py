@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +56,19 @@ def read_feed(
     return reader.schema(schema).option("enforceSchema", not header).csv(path)
 
 
+def schema_once(spark: SparkSession, path: str, kept: str) -> T.StructType:
+    """The schema kept as JSON under ``kept``; at first it is inferred from the feed and kept."""
+    try:
+        text = spark.read.text(kept, wholetext=True).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        schema = read_feed(spark, path).schema
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(kept)
+        return schema
+    return T.StructType.fromJson(json.loads(text))
+
+
 def ingest_full(
     spark: SparkSession,
     src: str,

@@ -51,3 +51,17 @@ def test_a_second_delivery_adds_to_silver(spark, table, tmp_path):
         ("c2", "denied"),
     ]
     assert again["procedures"].first()["cost_category"] == "Low"
+
+
+def test_a_feed_without_a_schema_keeps_the_first_one(spark, table, tmp_path):
+    landing, bronze, log = (str(tmp_path / x) for x in ("landing", "bronze", "log"))
+    for feed, schema in feeds.FEEDS.items():
+        spark.createDataFrame([], schema).write.csv(f"{landing}/{feed}", header=True)
+    diagnosis = f"{landing}/diagnosis"
+    table("claim_id string, code int", ("c1", 7)).write.csv(diagnosis, header=True)
+    added = load_bronze(spark, landing, bronze, log, inferred=["diagnosis"])
+    assert added["diagnosis"] == 1 and len(added) == 5
+    table("claim_id string, code int", ("c2", 8)).write.mode("append").csv(diagnosis, header=True)
+    assert load_bronze(spark, landing, bronze, log, inferred=["diagnosis"])["diagnosis"] == 1
+    got = spark.read.parquet(f"{bronze}/diagnosis")
+    assert dict(got.dtypes)["code"] == "int" and rows(got.select("claim_id")) == [("c1",), ("c2",)]
