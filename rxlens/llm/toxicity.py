@@ -52,14 +52,14 @@ ORDER = 3
 DECAY = 0.5
 LONGEST = 40
 MAX_DOCS = 4000
-MAX_SENTENCES = 20_000
+MAX_SENTENCES = 12_000
 LANDMARKS = 192
 #: Rounds of choosing words and adding landmarks where the machine errs.
 TURNS = 6
 #: Log-likelihood ratio from which a word is held to be tied to toxic documents.
 CERTAIN = 25.0
 THRESHOLD = 0.7
-MAX_KNOWN = 500_000
+MAX_KNOWN = 250_000
 _SYMBOLS = 64
 _WORD = re.compile(r"\w(?:\S*\w)?")
 _SPELLED = re.compile(r"\b\w(?:\W{1,2}\w\b){2,}")
@@ -163,10 +163,10 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     for j, c in enumerate(coded):
         code, weight = _subsequences(c)
         np.add.at(features[:, j], column[code[0]], weight / _norms(c)[0])
-    out = np.zeros((len(words), len(landmarks)))
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     for places, coded_words in _by_length(words):
         norms = _norms(coded_words)
-        step = max(1, 4_000_000 // (len(landmarks) * math.comb(coded_words.shape[1], ORDER)))
+        step = max(1, 1_000_000 // (len(landmarks) * math.comb(coded_words.shape[1], ORDER)))
         for at in range(0, len(places), step):
             code, weight = _subsequences(coded_words[at : at + step])
             found = np.einsum("wtm,t->wm", features[column[code]], weight)
@@ -207,18 +207,26 @@ def evidence(values: list[float]) -> tuple[float, float]:
     return top, min(sum(high) - top, _MORE)
 
 
-def _fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 1.0):
-    """Squared-hinge linear SVM by Newton steps; returns weights with the bias last."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], 1e-2)
+def _fit_svm(blocks: list[tuple[np.ndarray, float, np.ndarray]]) -> np.ndarray:
+    """Squared-hinge linear SVM by Newton steps; returns weights with the bias last.
+
+    ``blocks`` are rows, their label of +1 or -1, and their weights; rows are read in pieces.
+    """
+    n = blocks[0][0].shape[1] + 1
+    ridge = np.full(n, 1e-2)
     ridge[-1] = 1e-4
-    w = np.zeros(x.shape[1])
+    w = np.zeros(n)
     for _ in range(30):
-        margin = 1 - y * (x @ w)
-        on = margin > 0
-        xa, ca = x[on], cost * weight[on]
-        gradient = ridge * w - xa.T @ (ca * y[on] * margin[on])
-        step = np.linalg.solve(np.diag(ridge) + (xa * ca[:, None]).T @ xa, gradient)
+        gradient, curvature = ridge * w, np.diag(ridge)
+        for rows, label, weight in blocks:
+            for at in range(0, len(rows), 4096):
+                x = np.hstack([rows[at : at + 4096], np.ones((len(rows[at : at + 4096]), 1))])
+                margin = 1 - label * (x @ w)
+                on = margin > 0
+                x, c = x[on], weight[at : at + 4096][on]
+                gradient = gradient - label * (x.T @ (c * margin[on]))
+                curvature = curvature + (x * c[:, None]).T @ x
+        step = np.linalg.solve(curvature, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -383,17 +391,15 @@ def train(
     k_clean, k_held = kernel(clean, marks), kernel(held, marks)
     seen_often = np.sqrt([often[w] for w in clean])
     for turn in range(TURNS):
-        values, vectors = np.linalg.eigh(kernel(marks, marks))
-        use = values > 1e-6
-        root = vectors[:, use] / np.sqrt(values[use])
+        values, vectors = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
+        use = values > 1e-5
+        root = (vectors[:, use] / np.sqrt(values[use])).astype(np.float32)
         x_clean, x_held = k_clean @ root, k_held @ root
         times = np.bincount([place[v] for v in witness], minlength=len(held)).astype(float)
         on = times > 0
-        x = np.vstack([x_held[on], x_clean])
-        y = np.concatenate([np.ones(on.sum()), -np.ones(len(clean))])
-        weight = np.concatenate([np.log1p(times[on]), seen_often])
-        weight[: on.sum()] *= max(1.0, seen_often.sum() / 20 / weight[: on.sum()].sum())
-        w = _fit_svm(x, y, weight)
+        weight = np.log1p(times[on])
+        weight *= max(1.0, seen_often.sum() / 20 / weight.sum())
+        w = _fit_svm([(x_held[on], 1.0, weight), (x_clean, -1.0, seen_often)])
         scored = x_held @ w[:-1]
         again = [max(bag, key=lambda v: scored[place[v]]) for bag in bags[True]]
         # Clean words that the machine takes for toxic become landmarks themselves.
@@ -414,14 +420,14 @@ def train(
     return Model(model.table, model.bias, _fit_curve(x, toxic))
 
 
-def _evidence(docs: DataFrame, model: Model, more: list[str]) -> DataFrame:
-    """``top`` and ``more`` (see ``evidence``) of each ``text``, beside some columns."""
+def _evidence(docs: DataFrame, model: Model, more: list[str], text: str = "text") -> DataFrame:
+    """``top`` and ``more`` (see ``evidence``) of each text, beside some columns."""
     schema = docs.select(*more).schema.add("top", "double").add("more", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            texts, rows = batch.column("text"), []
+            texts, rows = batch.column(text), []
             for low in range(0, len(texts), 500):
                 found = [units(t or "") for t in texts.slice(low, 500).to_pylist()]
                 if len(known) > MAX_KNOWN:
@@ -433,7 +439,8 @@ def _evidence(docs: DataFrame, model: Model, more: list[str]) -> DataFrame:
             arrays = [batch.column(c) for c in more] + both.columns
             yield pa.RecordBatch.from_arrays(arrays, names=[*more, "top", "more"])
 
-    return docs.select(*more, "text").mapInArrow(run, schema)
+    read = more if text in more else [*more, text]
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 def _probability(model: Model) -> Column:
@@ -469,14 +476,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     model = train(docs, labels)
     names = docs.columns
     inner = [f"c{i}" for i in range(len(names))]
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)],
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    )
+    rows = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)])
     if model.table is None:
         found = rows.withColumns({"top": F.lit(0.0), "more": F.lit(0.0)})
     else:
-        found = _evidence(rows, model, inner)
+        found = _evidence(rows, model, inner, inner[names.index("text")])
     return found.filter(_probability(model) < threshold).select(
         *[F.col(i).alias(c) for i, c in zip(inner, names)]
     )
