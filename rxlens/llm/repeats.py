@@ -340,7 +340,8 @@ def repeated_spans(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFra
         .filter("times > 1")
         .select("anchor", (F.col("a") != F.col("b")).alias("mixed"))
     )
-    repeated = checkpoint_stage(found.join(groups, "anchor"))
+    # Written first, so that adaptive execution can split a hot anchor in the join.
+    repeated = checkpoint_stage(found.join(checkpoint_stage(groups), "anchor"))
     mixed = repeated.filter("mixed").drop("mixed")
 
     one = F.struct("doc_id", "dh", "at")
@@ -472,36 +473,32 @@ def drop_repeats(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame
     names = docs.columns
     inner = [f"c{i}" for i in range(len(names))]
     types = dict(docs.dtypes)
+    text_at = f"c{names.index('text')}"
+    # The text travels once; a flag tells which texts were null.
     rows = docs.select(
-        *[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)],
+        *[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner) if i != text_at],
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("text").isNull().alias("none"),
     ).withColumn("dh", F.xxhash64("doc_id", "text"))
+    others = [i for i in inner if i != text_at]
     joined = rows.join(spans, same_document(rows, spans), "left").select(
-        *inner, rows["text"].alias("text"), "spans"
+        *others, rows["text"].alias("text"), "none", "spans"
     )
-    text_at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             kept = [
-                kept_text(text, spans) if there else None
-                for text, spans, there in zip(
-                    texts,
-                    batch.column("spans").to_pylist(),
-                    batch.column(f"c{text_at}").is_valid().to_pylist(),
+                None if none else kept_text(text, spans)
+                for text, spans, none in zip(
+                    texts, batch.column("spans").to_pylist(), batch.column("none").to_pylist()
                 )
             ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(kept, pa.string()) if i == f"c{text_at}" else batch.column(i)
-                    for i in inner
-                ],
-                names=inner,
-            )
+            arrays = [batch.column(i) for i in others] + [pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*others, text_at])
 
-    schema = joined.select(*inner).schema
+    schema = joined.select(*others).schema.add(text_at, "string")
     out = joined.mapInArrow(cut, schema)
     out = out.select(*[F.col(i).alias(c) for c, i in zip(names, inner)])
     if "n_chars" in types:
