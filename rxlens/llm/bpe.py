@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from rxlens.llm.arrow import batch_of, map_texts
 
 MAX_STATES = 200_000
-MAX_PIECES = 400_000
+MAX_PIECES = 600_000
+#: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
+LISTED = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -200,6 +203,16 @@ class Transducer:
             self.states.append(state)
         return known, final
 
+    def _finish(self, number: int, byte: int) -> tuple[int, ...]:
+        """The pending tokens if the piece ends with ``byte``."""
+        for node, pending in self.states[number]:
+            node = self.below.get(node << 8 | byte)
+            if node is not None:
+                token = self._entry_at(node)
+                if token is not None and (not pending or self._are_apart(pending[-1], token)):
+                    return pending + (token,)
+        raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
+
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
@@ -207,7 +220,7 @@ class Transducer:
         out: list[int] = []
         state = 0
         moves = self.moves
-        for byte in piece:
+        for byte in piece[:-1]:
             key = state << 8 | byte
             move = moves.get(key)
             if move is None:
@@ -223,7 +236,7 @@ class Transducer:
             state, final = move
             if final:
                 out.extend(final)
-        out.extend(self.states[state][-1][1])
+        out.extend(self._finish(state, piece[-1]))
         return out
 
 
@@ -298,29 +311,44 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
         self.transducer = Transducer(ranks)
         self.tokens = self.transducer.tokens
-        self.split = regex.compile(pattern).finditer
+        self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def _runs(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text, in lists of bounded length."""
+        if len(text) <= LISTED:
+            yield self.pattern.findall(text)
+            return
+        matches = self.pattern.finditer(text)
+        while run := [m[0] for m in islice(matches, LISTED // 8)]:
+            yield run
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         known, encode = self.known, self.transducer.encode_piece
-        for match in self.split(text):
-            piece = match[0]
-            ids = known.get(piece)
-            if ids is None:
-                ids = tuple(encode(piece.encode("utf-8")))
-                if len(ids) <= 64:
-                    if len(known) >= self.max_pieces:
-                        known.clear()
-                    known[piece] = ids
-            out += ids
+        for run in self._runs(text):
+            found = list(map(known.get, run))
+            if None in found:
+                for at, ids in enumerate(found):
+                    if ids is not None:
+                        continue
+                    piece = run[at]
+                    ids = known.get(piece)
+                    if ids is None:
+                        ids = tuple(encode(piece.encode("utf-8")))
+                        if len(ids) <= 64:
+                            if len(known) >= self.max_pieces:
+                                known.clear()
+                            known[piece] = ids
+                    found[at] = ids
+            out.extend(chain.from_iterable(found))
         return out
 
     def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
-        tokens = self.tokens
+        token = self.tokens.__getitem__
         for at in range(0, len(ids), 4096):
-            yield b"".join([tokens[i] for i in ids[at : at + 4096]])
+            yield b"".join(map(token, ids[at : at + 4096]))
 
     def decode(self, ids: list[int]) -> Iterator[str]:
         """The text of a stream of ids, piece by piece; no character is cut."""
@@ -391,6 +419,7 @@ def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
 
     def start() -> Callable[[str], tuple]:
         codec = Codec(read_ranks(ranks_path), pattern)
+        decimal = {i: str(i) for i in codec.tokens}
 
         def row(text: str) -> tuple:
             ids = codec.encode(text)
@@ -399,7 +428,7 @@ def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
             for part in codec.decode_bytes(ids):
                 digest.update(machine.push(part).encode())
             digest.update(machine.end().encode())
-            listed = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            listed = hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest()
             return len(ids), listed, digest.hexdigest()
 
         return row
