@@ -17,6 +17,7 @@ from rxlens.llm import (
     simhash,
     tokens,
     toxicity,
+    urls,
 )
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
@@ -127,4 +128,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query("op12_url_filters")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.url_report(table(spark, sf_dir, "pages"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
