@@ -11,6 +11,7 @@ from rxlens.llm import (
     chat,
     decontam,
     language,
+    manifest,
     quality,
     repeats,
     sharding,
@@ -19,6 +20,7 @@ from rxlens.llm import (
     toxicity,
     urls,
 )
+from rxlens.llm.manifest_sql import MANIFEST_SQL
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -133,4 +135,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
 
 
+@query("op13_merkle_manifest", MANIFEST_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
