@@ -12,6 +12,7 @@ from rxlens.llm import (
     decontam,
     language,
     manifest,
+    prefixes,
     quality,
     repeats,
     sharding,
@@ -21,6 +22,7 @@ from rxlens.llm import (
     urls,
 )
 from rxlens.llm.manifest_sql import MANIFEST_SQL
+from rxlens.llm.prefixes_sql import TRIE_SQL
 from rxlens.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
@@ -130,6 +132,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie_report(table(spark, sf_dir, "conversations"))
+
+
 @query("op12_url_filters")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_report(table(spark, sf_dir, "pages"))
