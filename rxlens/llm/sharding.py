@@ -14,12 +14,13 @@ All on columns: no Python on the executors. Texts are not shuffled, only their s
 
 Defined results: a null dimension lies on the first step; a null text has size 16 and the CRC
 of no bytes; rows with equal values are ranked by id, the order of fully equal rows does not
-show; with fewer rows than shards some shards are empty. Extra columns are not read.
+show; equal values of a dimension share a step, texts are compared whole; with fewer rows than
+shards some shards are empty. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ SHARDS = 40
 BITS = 5
 PART_ROWS = 20_000
 OVERHEAD = 16
+NUMBERS = {"tinyint", "smallint", "int", "bigint", "float", "double", "decimal"}
 
 
 def _rotate(value: Column, by: Column, dims: int, left: bool) -> Column:
@@ -84,33 +86,73 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text).cast("long"), F.lit(0).cast("long")) + OVERHEAD
 
 
-def _order_of(column: Column, kind: str) -> Column:
-    """A number that sorts like the column: itself, or the first six bytes of a string."""
-    if kind != "string":
-        return column.cast("double")
-    head = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _runs(values: DataFrame, bits: int) -> list[tuple[object, int]]:
+    """Smallest value and step of every step that a text dimension fills.
+
+    A value's step is the share of rows that sort before it. Values are counted first; the
+    distinct ones are sorted by range, so neither many values nor a common prefix matters.
+    """
+    counts = values.groupBy("value").agg(F.count("*").alias("rows"))
+    spread = counts.repartitionByRange("value").sortWithinPartitions("value")
+    kept = checkpoint_stage(spread.withColumn("part", F.spark_partition_id()))
+    parts = kept.groupBy("part").agg(F.sum("rows").alias("part_rows"))
+    # One row per partition of the sort.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", F.coalesce(F.sum("part_rows").over(earlier), F.lit(0)).alias("base"))
+    total = kept.agg(F.sum("rows")).first()[0] or 1
+    smaller = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("rows").over(smaller), F.lit(0))
+    placed = kept.withColumn("inner", inner).join(parts, "part").filter("value is not null")
+    step = F.expr(f"cast((cast(base + inner as decimal(38, 0)) * {1 << bits}) div {total} as int)")
+    firsts = placed.groupBy(step.alias("step")).agg(F.min("value").alias("value"))
+    return sorted((r["value"], r["step"]) for r in firsts.collect())
+
+
+def _step(value: Column, firsts: list[tuple[object, int]]) -> Column:
+    """The step of the largest of ``firsts`` that is not above the value."""
+    if not firsts:
+        return F.lit(0)
+    known = F.array(*[F.struct(F.lit(v).alias("value"), F.lit(n).alias("step")) for v, n in firsts])
+    passed = F.filter(known, lambda first: first["value"] <= value)
+    return F.coalesce(F.get(passed, F.size(passed) - 1)["step"], F.lit(0))
 
 
 def quantised(docs: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
     """``docs`` with a step ``__step0``, ``__step1`` … per column, cut at quantiles.
 
-    The cuts are ``2 ** bits - 1`` numbers per column, whatever the size of the input.
+    Numbers are cut at approximate quantiles, all else by its text, whole and bytewise. The
+    cuts are at most ``2 ** bits`` values per column, whatever the size of the input.
     """
     kinds = dict(docs.dtypes)
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    values = {c: _order_of(F.col(f"`{c}`"), kinds[c]) for c in columns}
-    cuts = docs.agg(
-        *[F.percentile_approx(values[c], shares, 1000).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
+    numeric = [c for c in columns if kinds[c].split("(")[0] in NUMBERS]
+    cuts = {}
+    if numeric:
+        found = docs.agg(
+            *[
+                F.percentile_approx(F.col(f"`{c}`").cast("double"), shares, 1000).alias(f"q{i}")
+                for i, c in enumerate(numeric)
+            ]
+        ).first()
+        cuts = {c: [float(x) for x in found[k] or []] for k, c in enumerate(numeric)}
     steps = {}
     for i, c in enumerate(columns):
-        known = F.array(*[F.lit(float(x)) for x in cuts[i] or []]).cast("array<double>")
-        passed = F.size(F.filter(known, lambda q, v=values[c]: q < v))
-        steps[f"__step{i}"] = F.when(values[c].isNull(), 0).otherwise(passed).cast("int")
+        if c in cuts:
+            value = F.col(f"`{c}`").cast("double")
+            known = F.array(*map(F.lit, cuts[c])).cast("array<double>")
+            steps[f"__step{i}"] = F.size(F.filter(known, _below(value)))
+        else:
+            value = F.col(f"`{c}`").cast("string")
+            steps[f"__step{i}"] = _step(value, _runs(docs.select(value.alias("value")), bits))
+        steps[f"__step{i}"] = F.when(value.isNull(), 0).otherwise(steps[f"__step{i}"]).cast("int")
     return docs.withColumns(steps)
 
 
+def _below(value: Column) -> Callable[[Column], Column]:
+    # A lambda with a second parameter would be given the position in the list.
+    return lambda cut: cut < value
+
+
 def shard(
     docs: DataFrame,
     columns: Sequence[str] = ("source", "lang", "n_chars"),

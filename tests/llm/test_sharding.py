@@ -45,6 +45,54 @@ def test_shards_are_compact(spark, sf_dir):
         assert of < 0.75 * every
 
 
+def test_steps_follow_whole_values(spark):
+    urls = [f"https://a.example.com/same/start/{i:04d}" for i in range(640)]
+    rows = [(u, i * 3, None if i % 5 == 0 else "x") for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "u string, n long, c string").repartition(9)
+    got = sharding.quantised(df, ["u", "n", "c"]).collect()
+    for r in got:
+        i = urls.index(r["u"])
+        assert r["__step0"] == i * 32 // 640
+        assert abs(r["__step1"] - i * 32 // 640) <= 1
+        # A fifth of the rows is null and sorts before the only value.
+        assert r["__step2"] == (0 if r["c"] is None else 128 * 32 // 640)
+
+
+def test_shards_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    total, columns = docs.count(), ["source", "lang", "n_chars"]
+    stepped = sharding.quantised(docs, columns).collect()
+    for i, name in enumerate(columns):
+        at = sorted(stepped, key=lambda r: (r[name] is not None, r[name]))
+        assert [r[f"__step{i}"] for r in at] == sorted(r[f"__step{i}"] for r in at)
+        assert len({r[f"__step{i}"] for r in at}) > 2
+    cell = {r["doc_id"]: sharding_cell(r) for r in stepped}
+    got = sharding.shard(docs).collect()
+    assert len({r["cell"] for r in got}) > 50
+    by_cell = sorted(got, key=lambda r: (r["shard"], r["slot"]))
+    assert [r["cell"] for r in by_cell] == sorted(r["cell"] for r in got)
+    assert [r["shard"] for r in by_cell] == [rank * 40 // total for rank in range(total)]
+    ranks = {c: n for n, c in enumerate(sorted(set(cell.values())))}
+    seen = {}
+    for r in got:
+        seen.setdefault(cell[r["doc_id"]], set()).add(r["cell"])
+    assert all(len(s) == 1 for s in seen.values()) and len(ranks) == len({r["cell"] for r in got})
+
+
+def sharding_cell(row):
+    return tuple(row[f"__step{i}"] for i in range(3))
+
+
+def test_a_filter_on_two_columns_skips_shards(spark, sf_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    placed = sharding.shard(docs).join(docs.select("doc_id", "lang", "source", "n_chars"), "doc_id")
+    bounds = placed.groupBy("shard").agg(
+        *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("source", "lang", "n_chars")]
+    )
+    hit = bounds.filter("min_lang <= 'fr' and max_lang >= 'fr' and min_source <= 'src7' and max_source >= 'src7'")
+    assert hit.count() <= 16
+
+
 def test_hard_rows(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, cell long"
     hard = [(1, None, None, None, None, 1), (2, "", "en", "s", 3, 1), (2, "", "en", "s", 3, 1)]
