@@ -69,13 +69,18 @@ def _provider_totals(claims: DataFrame, *also: Column | str) -> DataFrame:
 
 def spend_by_provider(claims: DataFrame, providers: DataFrame) -> DataFrame:
     """Claims and spend per pharmacy; claims without a known pharmacy form a NULL row."""
+    return spend_of_totals(_provider_totals(claims), providers)
+
+
+def spend_of_totals(totals: DataFrame, providers: DataFrame) -> DataFrame:
+    """``spend_by_provider`` from ``claim_count`` and ``cents`` per pharmacy (and month, say)."""
     known = providers.select(
         "provider_id",
         F.col("provider_id").alias("pharmacy_id"),
         F.col("provider_name").alias("pharmacy_name"),
         F.col("specialty").alias("channel"),
     )
-    joined = _provider_totals(claims).join(known, "provider_id", "left")
+    joined = totals.join(known, "provider_id", "left")
     return summarise(
         joined,
         ["pharmacy_id", "pharmacy_name", "channel"],
@@ -85,8 +90,13 @@ def spend_by_provider(claims: DataFrame, providers: DataFrame) -> DataFrame:
 
 def channel_summary(claims: DataFrame, providers: DataFrame) -> DataFrame:
     """Claims, spend and spend per claim by channel and state, NULL group included."""
+    return channels_of_totals(_provider_totals(claims), providers)
+
+
+def channels_of_totals(totals: DataFrame, providers: DataFrame) -> DataFrame:
+    """``channel_summary`` from ``claim_count`` and ``cents`` per pharmacy (and month, say)."""
     places = providers.select("provider_id", F.col("specialty").alias("channel"), "state")
-    joined = _provider_totals(claims).join(places, "provider_id", "left")
+    joined = totals.join(places, "provider_id", "left")
     return summarise(
         joined,
         ["channel", "state"],
@@ -160,8 +170,13 @@ def spend_trend(claims: DataFrame, by: Sequence[str] = (), calendar: bool = Fals
 
 def channel_months(claims: DataFrame, providers: DataFrame) -> DataFrame:
     """``month_totals`` per channel, from totals per pharmacy and month."""
+    return channel_months_of_totals(month_totals(claims, ["provider_id"]), providers)
+
+
+def channel_months_of_totals(totals: DataFrame, providers: DataFrame) -> DataFrame:
+    """``channel_months`` from ``month_totals`` per pharmacy."""
     places = providers.select("provider_id", F.col("specialty").alias("channel"))
-    joined = month_totals(claims, ["provider_id"]).join(places, "provider_id", "left")
+    joined = totals.join(places, "provider_id", "left")
     return resummarise(joined, ["claim_month", "channel"], ["claim_count", "cents"])
 
 

@@ -41,18 +41,25 @@ def load_bronze(
     bronze: str,
     checkpoints: str,
     inferred: Sequence[str] = (),
+    rejects: str | None = None,
 ) -> dict[str, int]:
     """Load the new files of every feed folder under ``landing``; rows added per feed.
 
     ``inferred`` names further feeds, like diagnosis, that have no schema of their own: theirs
-    is inferred at the first load, kept beside the checkpoint, and holds from then on.
+    is inferred at the first load, kept beside the checkpoint, and holds from then on. With
+    ``rejects`` rows that do not parse go to a folder per feed below it instead of losing values.
     """
     schemas = dict(FEEDS)
     for feed in inferred:
         schemas[feed] = schema_once(spark, f"{landing}/{feed}", f"{checkpoints}/{feed}-schema")
     return {
         feed: ingest_incremental(
-            spark, f"{landing}/{feed}", f"{bronze}/{feed}", schema, f"{checkpoints}/{feed}"
+            spark,
+            f"{landing}/{feed}",
+            f"{bronze}/{feed}",
+            schema,
+            f"{checkpoints}/{feed}",
+            rejects=None if rejects is None else f"{rejects}/{feed}",
         )
         for feed, schema in schemas.items()
     }
@@ -68,11 +75,16 @@ class Layers:
         self.prefix = prefix
         self.root = root
 
+    def place(self, layer: str, name: str) -> tuple[str, str | None]:
+        """Full table name, and the folder of its files if not in the warehouse."""
+        table = f"{self.prefix}{name}"
+        return f"{layer}.{table}", None if self.root is None else f"{self.root}/{layer}/{table}"
+
     def save(
         self, df: DataFrame, layer: str, name: str, partition_by: str | None = None
     ) -> DataFrame:
-        table = f"{self.prefix}{name}"
-        path = None if self.root is None else f"{self.root}/{layer}/{table}"
+        table, path = self.place(layer, name)
+        table = table.split(".")[1]
         return save_layer(
             df, layer, table, partition_by=partition_by, comment=COMMENTS[name], path=path
         )

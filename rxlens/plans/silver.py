@@ -73,9 +73,14 @@ def silver_procedures(raw: DataFrame, keep_sign: bool = False) -> DataFrame:
         F.trim("procedure_desc").alias("procedure_desc"),
         clean_amount("amount", keep_sign).alias("amount"),
     )
-    best = dedup_best(
+    best = best_lines(lines).where(F.col("amount") > 0)
+    return best.withColumn("cost_category", band("amount", COST_CUTS, COST_LABELS))
+
+
+def best_lines(lines: DataFrame) -> DataFrame:
+    """One line per claim and drug. Best lines of several deliveries merge by the same rule."""
+    return dedup_best(
         lines,
         ["claim_id", "procedure_code"],
         [F.desc("amount"), F.asc("procedure_desc")],
-    ).where(F.col("amount") > 0)
-    return best.withColumn("cost_category", band("amount", COST_CUTS, COST_LABELS))
+    )

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
+#: Folder name of a partition whose value is null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def save_layer(
@@ -25,7 +27,8 @@ def save_layer(
 
     ``partition_by`` should have few values (a month, not a day). Rows are gathered by
     partition first, so a task does not open one file per value; adaptive execution
-    splits a value that holds many rows over several tasks. A failed overwrite leaves the
+    splits a value that holds many rows over several tasks. Values whose folder names need
+    escapes (with a slash, colon or percent sign) are not meant for it. A failed overwrite leaves the
     table as it was; see ``publish``.
     """
     if layer not in LAYERS:
@@ -60,36 +63,134 @@ def publish(
     The rows go to a fresh folder first (under ``path``, or in the warehouse); the table is
     pointed there when the write is done. So ``df`` may read the table itself, a write that
     fails changes nothing, and the files of the state before stay for plans that still read
-    them, until the owner of the folder expires them. One writer at a time.
+    them, until the owner of the folder expires them. A partitioned table changes partition by
+    partition and exists throughout. One writer at a time.
     """
     spark = df.sparkSession
-    base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/_tables/{table}"
+    quoted = _quoted(table)
+    fresh = _write_fresh(df, table, partition_by, path)
+    stored = spark.read.schema(df.schema).parquet(fresh)
+    exists = spark.catalog.tableExists(table)
+    same = exists and sorted(spark.table(table).dtypes) == sorted(df.dtypes)
+    if same and not partition_by and _described(spark, table, "Type") == "EXTERNAL":
+        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{fresh}'")
+    elif same and partition_by and _by_catalog(spark, table, partition_by):
+        now = _point_partitions(stored, table, partition_by)
+        for spec in _partitions(spark, table) - now:
+            spark.sql(f"ALTER TABLE {quoted} DROP IF EXISTS PARTITION ({_spec_sql(spec)})")
+    else:
+        # Another schema, or a table that owns its files: make it anew at the new files, which
+        # are complete.
+        if exists:
+            spark.sql(f"DROP TABLE {quoted}")
+        if partition_by:
+            _create_partitioned(df, table, partition_by, path)
+            _point_partitions(stored, table, partition_by)
+        else:
+            spark.catalog.createTable(table, path=fresh, source="parquet")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def replace_partitions(
+    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None = None
+) -> DataFrame:
+    """Make ``df`` the new content of the partitions it has rows in; the others stay as they are.
+
+    Written and pointed to as in ``publish``: ``df`` may read the partitions that it replaces,
+    and only the touched ones get new files. The table is made if there is none. A crash half
+    way leaves each partition in its old or its new state; run the same replacement again.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return publish(df, table, partition_by, path)
+    if sorted(spark.table(table).dtypes) != sorted(df.dtypes):
+        raise ValueError(f"{table} has other columns than the rows that replace its partitions")
+    fresh = _write_fresh(df, table, partition_by, path)
+    _point_partitions(spark.read.schema(df.schema).parquet(fresh), table, partition_by)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+#: Partition columns and their values as text; None for null.
+Spec = tuple[tuple[str, str | None], ...]
+
+
+def _quoted(table: str) -> str:
+    return ".".join(f"`{part}`" for part in table.split("."))
+
+
+def _write_fresh(
+    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None
+) -> str:
+    base = path or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_tables/{table}"
     fresh = f"{base.rstrip('/')}/state-{uuid.uuid4().hex}"
     writer = _gathered(df, partition_by).write
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer.mode("error").parquet(fresh)
-    quoted = ".".join(f"`{part}`" for part in table.split("."))
-    stored = spark.read.parquet(fresh)
-    if spark.catalog.tableExists(table):
-        described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()
-        external = any(r["col_name"] == "Type" and r["data_type"] == "EXTERNAL" for r in described)
-        if external and not partition_by and spark.table(table).dtypes == stored.dtypes:
-            spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{fresh}'")
-        else:
-            # Another schema, a table that owns its files, or one whose partitions the catalog
-            # lists by their old folders: make it anew at the new files, which are complete.
-            spark.sql(f"DROP TABLE {quoted}")
-            spark.catalog.createTable(table, path=fresh, source="parquet")
-    else:
-        spark.catalog.createTable(table, path=fresh, source="parquet")
-    by_catalog = any(
-        r["col_name"] == "Partition Provider" and r["data_type"] == "Catalog"
-        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quoted}").collect()
+    return fresh
+
+
+def _create_partitioned(
+    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None
+) -> None:
+    """A table without partitions yet; each of them names its own folder."""
+    spark = df.sparkSession
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/_tables/{table}"
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+    by = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(
+        f"CREATE TABLE {_quoted(table)} ({columns}) USING parquet PARTITIONED BY ({by}) "
+        f"LOCATION '{base.rstrip('/')}/unpartitioned'"
     )
-    if partition_by and by_catalog:
-        spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+
+
+def _described(spark: SparkSession, table: str, item: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == item), None)
+
+
+def _by_catalog(spark: SparkSession, table: str, partition_by: Sequence[str]) -> bool:
+    """The catalog lists the partitions, by these columns, and dropping one keeps its files."""
+    named = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return (
+        named == list(partition_by)
+        and _described(spark, table, "Partition Provider") == "Catalog"
+        and _described(spark, table, "Type") == "EXTERNAL"
+    )
+
+
+def _partitions(spark: SparkSession, table: str) -> set[Spec]:
+    def spec(text: str) -> Spec:
+        pairs = [part.split("=", 1) for part in text.split("/")]
+        return tuple((k, None if v == NO_VALUE else v) for k, v in pairs)
+
+    return {spec(r[0]) for r in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()}
+
+
+def _spec_sql(spec: Spec) -> str:
+    return ", ".join(f"`{k}` = " + ("NULL" if v is None else f"'{v}'") for k, v in spec)
+
+
+def _point_partitions(stored: DataFrame, table: str, partition_by: Sequence[str]) -> set[Spec]:
+    """Let the table's partitions name the folders of ``stored``, and return them."""
+    spark = stored.sparkSession
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    values = [F.col(f"`{c}`").cast("string") for c in partition_by]
+    # One row per partition written.
+    folders = stored.select(*values, folder.alias("folder")).distinct().collect()
+    known = _partitions(spark, table)
+    quoted, now, added = _quoted(table), set(), []
+    for *texts, where in folders:
+        spec = tuple(zip(partition_by, texts))
+        now.add(spec)
+        if spec in known:
+            spark.sql(f"ALTER TABLE {quoted} PARTITION ({_spec_sql(spec)}) SET LOCATION '{where}'")
+        else:
+            added.append(f"PARTITION ({_spec_sql(spec)}) LOCATION '{where}'")
+    if added:
+        spark.sql(f"ALTER TABLE {quoted} ADD IF NOT EXISTS {' '.join(added)}")
+    return now
 
 
 def insert_rows(spark: SparkSession, table: str, rows: Sequence[Row | tuple]) -> None:

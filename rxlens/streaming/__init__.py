@@ -1,5 +1,5 @@
 """Incremental load of feed folders."""
 
-from rxlens.streaming.ingest import ingest_incremental, read_ingested
+from rxlens.streaming.ingest import ingest_incremental, read_ingested, read_rejects
 
-__all__ = ["ingest_incremental", "read_ingested"]
+__all__ = ["ingest_incremental", "read_ingested", "read_rejects"]
