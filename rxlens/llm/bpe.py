@@ -13,7 +13,8 @@ place, so equal situations in different pieces share a state. States and their t
 are made when first met and kept in a table that is emptied when full; a transition emits the
 tokens that became final. Look-ahead is bounded by the longest vocabulary entry.
 
-The vocabulary file is read once per task from ``ranks_path``, which every executor must have.
+The vocabulary file is read once per Python worker from ``ranks_path``, which every executor
+must have; the worker's tables, of bounded size, serve all of its tasks.
 
 Defined results: a null or empty text has no tokens; texts with special-token strings are
 ordinary text; an entry that merging cannot reach is used only for a piece equal to it.
@@ -23,8 +24,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import sys
 from collections.abc import Callable, Iterator
 from itertools import chain, islice
+from types import ModuleType
 
 import pyarrow as pa
 import regex
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 from rxlens.llm.arrow import batch_of, map_texts
 
 MAX_STATES = 200_000
-MAX_PIECES = 600_000
+MAX_PIECES = 400_000
+#: Module name under which a worker keeps its codec.
+KEPT = "_kept_byte_bpe"
 #: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
 LISTED = 1 << 20
 
@@ -305,6 +311,10 @@ class Utf8Decoder:
         return "\ufffd" if rest else ""
 
 
+#: What is kept of a piece: its ids, their decimal digits joined by commas, and their bytes.
+Entry = tuple[tuple[int, ...], str, bytes]
+
+
 class Codec:
     """Encodes whole texts and decodes token ids, with a bounded memory of pieces."""
 
@@ -313,7 +323,7 @@ class Codec:
         self.tokens = self.transducer.tokens
         self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, Entry] = {}
 
     def _runs(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, in lists of bounded length."""
@@ -324,26 +334,30 @@ class Codec:
         while run := [m[0] for m in islice(matches, LISTED // 8)]:
             yield run
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, encode = self.known, self.transducer.encode_piece
+    def _entry(self, piece: str) -> Entry:
+        ids = tuple(self.transducer.encode_piece(piece.encode("utf-8")))
+        tokens = self.tokens
+        entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
+        if len(ids) <= 64:
+            if len(self.known) >= self.max_pieces:
+                self.known.clear()
+            self.known[piece] = entry
+        return entry
+
+    def entries(self, text: str) -> Iterator[list[Entry]]:
+        """Ids, digits and decoded bytes of the pieces of a text, in lists of bounded length."""
+        known = self.known
         for run in self._runs(text):
             found = list(map(known.get, run))
             if None in found:
-                for at, ids in enumerate(found):
-                    if ids is not None:
-                        continue
-                    piece = run[at]
-                    ids = known.get(piece)
-                    if ids is None:
-                        ids = tuple(encode(piece.encode("utf-8")))
-                        if len(ids) <= 64:
-                            if len(known) >= self.max_pieces:
-                                known.clear()
-                            known[piece] = ids
-                    found[at] = ids
-            out.extend(chain.from_iterable(found))
-        return out
+                for at, entry in enumerate(found):
+                    if entry is None:
+                        found[at] = known.get(run[at]) or self._entry(run[at])
+            if found:
+                yield found
+
+    def encode(self, text: str) -> list[int]:
+        return [i for found in self.entries(text) for entry in found for i in entry[0]]
 
     def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
         token = self.tokens.__getitem__
@@ -361,11 +375,25 @@ class Codec:
             yield rest
 
 
+def kept_codec(ranks_path: str, pattern: str) -> Codec:
+    """A codec that stays with the Python worker, for all tasks that it runs.
+
+    States, moves and pieces that one task has met need not be made again by the next. The
+    worker holds the codec outside this module, which is shipped with every task anew.
+    """
+    kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__.setdefault("codecs", {})
+    key = (ranks_path, os.path.getmtime(ranks_path), pattern)
+    if key not in kept:
+        kept.clear()
+        kept[key] = Codec(read_ranks(ranks_path), pattern)
+    return kept[key]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids``, the token ids of every whole text."""
 
     def start() -> Callable[[str], tuple]:
-        codec = Codec(read_ranks(ranks_path), pattern)
+        codec = kept_codec(ranks_path, pattern)
         return lambda text: (codec.encode(text),)
 
     return map_texts(docs, start, "ids array<int>")
@@ -378,12 +406,16 @@ def encode_checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
 
     def start() -> Callable[[str], tuple]:
-        codec = Codec(read_ranks(ranks_path), pattern)
+        codec = kept_codec(ranks_path, pattern)
 
         def row(text: str) -> tuple:
-            ids = codec.encode(text)
+            ids, back = [], []
             machine = Utf8Decoder()
-            back = "".join([machine.push(part) for part in codec.decode_bytes(ids)])
+            for found in codec.entries(text):
+                tokens, _, raw = zip(*found)
+                ids.extend(chain.from_iterable(tokens))
+                back.append(machine.push(b"".join(raw)))
+            back = "".join(back)
             if back + machine.end() != text:
                 raise ValueError("a text changed on its way through the tokens")
             return len(ids), ids, hashlib.sha256(text.encode()).hexdigest()
@@ -418,18 +450,20 @@ def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
     """Per document: number of tokens, digest of the ids, digest of the bytes decoded."""
 
     def start() -> Callable[[str], tuple]:
-        codec = Codec(read_ranks(ranks_path), pattern)
-        decimal = {i: str(i) for i in codec.tokens}
+        codec = kept_codec(ranks_path, pattern)
 
         def row(text: str) -> tuple:
-            ids = codec.encode(text)
-            digest = hashlib.sha256()
+            count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
             machine = Utf8Decoder()
-            for part in codec.decode_bytes(ids):
-                digest.update(machine.push(part).encode())
-            digest.update(machine.end().encode())
-            listed = hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest()
-            return len(ids), listed, digest.hexdigest()
+            for found in codec.entries(text):
+                tokens, digits, raw = zip(*found)
+                if count:
+                    listed.update(b",")
+                count += sum(map(len, tokens))
+                listed.update(",".join(digits).encode())
+                decoded.update(machine.push(b"".join(raw)).encode())
+            decoded.update(machine.end().encode())
+            return count, listed.hexdigest(), decoded.hexdigest()
 
         return row
 

@@ -327,11 +327,11 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = SIZE
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """The documents without those that hold a benchmark window; all columns stay."""
     bad = checkpoint_stage(
-        contamination(docs, benchmark, size)
-        .filter("contaminated")
-        .select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
-        .distinct()
-    )
-    mark = text_mark(F.col("doc_id"), F.col("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (mark == F.col("__mark"))
-    return docs.join(bad, same, "left_anti")
+        contamination(docs, benchmark, size).filter("contaminated").select("doc_id", "mark").distinct()
+    ).toDF("b0", "b1")
+    # Columns by position, so that no name of the input can clash.
+    at = {name: F.col(f"c{i}") for i, name in enumerate(docs.columns)}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    mark = text_mark(at["doc_id"], at["text"])
+    same = at["doc_id"].cast("long").eqNullSafe(F.col("b0")) & (mark == F.col("b1"))
+    return plain.join(bad, same, "left_anti").toDF(*docs.columns)

@@ -246,13 +246,16 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         first.join(
             times.select(F.col("doc_id").alias("i"), F.col("mark").alias("m"), "times"),
             F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")),
-        ).select(F.col("i").alias("__id"), F.col("m").alias("__mark"), F.col("times").alias("__times"))
-    )
-    marked = docs.withColumn("__of", text_mark(F.col("doc_id"), F.col("text")))
-    hits = marked.join(
+        ).select("i", "m", "times")
+    ).toDF("k0", "k1", "k2")
+    # Columns by position, so that no name of the input can clash.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {name: F.col(c) for c, name in zip(names, docs.columns)}
+    hits = docs.toDF(*names).join(
         kept,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__mark")),
+        at["doc_id"].cast("long").eqNullSafe(F.col("k0"))
+        & (text_mark(at["doc_id"], at["text"]) == F.col("k1")),
     )
-    once = hits.filter("__times = 1")
-    again = hits.filter("__times > 1").dropDuplicates(["__id", "__mark"])
-    return once.unionByName(again).select(*[f"`{c}`" for c in docs.columns])
+    once = hits.filter("k2 = 1")
+    again = hits.filter("k2 > 1").dropDuplicates(["k0", "k1"])
+    return once.unionByName(again).select(*names).toDF(*docs.columns)

@@ -1,4 +1,5 @@
 import duckdb
+from pyspark.sql import functions as F
 
 from rxlens.llm import decontam
 from rxlens.llm.queries import LLM_ORACLES, LLM_QUERIES
@@ -62,3 +63,21 @@ def test_proximity_takes_any_order(spark):
     index = decontam.build_index(docs, windows, runs_only=False)
     near = decontam.proximity_matches(index, windows, 9).join(index, "row")
     assert {r["doc_id"] for r in near.collect()} == {2, 5}
+
+
+def test_no_column_name_clashes(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame(
+        [(1, f"so {item} then"), (2, "clean words"), (2, "clean words"), (None, None), (None, item)],
+        "doc_id long, text string",
+    )
+    names = ["__id", "__of", "__mark", "mark", "b0", "c0", "row", "x.y", "a b"]
+    wide = df
+    for name in names:
+        wide = wide.withColumn(name, F.lit(name))
+    items = spark.createDataFrame([(1, item, "x")], "item_id long, text string, __id string")
+    left = decontam.drop_contaminated(wide, items)
+    assert left.columns == wide.columns
+    got = left.collect()
+    assert sorted([r["doc_id"] for r in got], key=str) == [2, 2, None]
+    assert all(r[name] == name for r in got for name in names)

@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from rxlens.llm import simhash
 from tests.conftest import rows
@@ -87,3 +88,18 @@ def test_hard_rows(spark):
 def test_repeated_survivor_is_one_row(spark):
     docs = spark.createDataFrame([(5, "a b"), (5, "a b"), (7, "a b")], "doc_id long, text string")
     assert rows(simhash.keep_first(docs)) == [(5, "a b")]
+
+
+def test_no_column_name_clashes(spark):
+    text = "one two three four five"
+    rows_ = [(1, text), (2, text), (2, text), (3, "another text altogether here"), (None, None)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    names = ["__id", "__of", "__mark", "__times", "c0", "k0", "k1", "fp", "root", "i", "m", "a b", "x.y"]
+    wide = df
+    for name in names:
+        wide = wide.withColumn(name, F.lit(name))
+    kept = simhash.keep_first(wide)
+    assert kept.columns == wide.columns
+    got = kept.collect()
+    assert {r["doc_id"] for r in got} == {1, 3, None} and len(got) == 3
+    assert all(r[name] == name for r in got for name in names)
