@@ -13,8 +13,7 @@ place, so equal situations in different pieces share a state. States and their t
 are made when first met and kept in a table that is emptied when full; a transition emits the
 tokens that became final. Look-ahead is bounded by the longest vocabulary entry.
 
-The vocabulary file is read once per Python worker from ``ranks_path``, which every executor
-must have; the worker's tables, of bounded size, serve all of its tasks.
+The vocabulary file is read once per task from ``ranks_path``, which every executor must have.
 
 Defined results: a null or empty text has no tokens; texts with special-token strings are
 ordinary text; an entry that merging cannot reach is used only for a piece equal to it.
@@ -23,12 +22,10 @@ ordinary text; an entry that merging cannot reach is used only for a piece equal
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-import os
-import sys
 from collections.abc import Callable, Iterator
 from itertools import chain, islice
-from types import ModuleType
 
 import pyarrow as pa
 import regex
@@ -38,9 +35,8 @@ from pyspark.sql import functions as F
 from rxlens.llm.arrow import batch_of, map_texts
 
 MAX_STATES = 200_000
-MAX_PIECES = 400_000
-#: Module name under which a worker keeps its codec.
-KEPT = "_kept_byte_bpe"
+MAX_PIECES = 600_000
+FREEZE_EVERY = 5_000
 #: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
 LISTED = 1 << 20
 
@@ -182,15 +178,25 @@ class Transducer:
     def _move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         grown = []
         ended = None
+        below, goes_on, entry, apart = self.below, self.goes_on, self.entry, self._apart
         for node, pending in self.states[number]:
-            node = self.below.get(node << 8 | byte)
+            node = below.get(node << 8 | byte)
             if node is None:
                 continue
             if ended is None:
-                token = self._entry_at(node)
-                if token is not None and (not pending or self._are_apart(pending[-1], token)):
-                    ended = pending + (token,)
-            if self.goes_on[node]:
+                token = entry[node]
+                if token is not None and token < 0:
+                    token = self._entry_at(node)
+                if token is not None:
+                    if pending:
+                        fits = apart.get(pending[-1] << 32 | token)
+                        if fits is None:
+                            fits = self._are_apart(pending[-1], token)
+                        if fits:
+                            ended = (*pending, token)
+                    else:
+                        ended = (token,)
+            if goes_on[node]:
                 grown.append((node, pending))
         if ended is None:
             raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
@@ -211,8 +217,9 @@ class Transducer:
 
     def _finish(self, number: int, byte: int) -> tuple[int, ...]:
         """The pending tokens if the piece ends with ``byte``."""
+        below = self.below
         for node, pending in self.states[number]:
-            node = self.below.get(node << 8 | byte)
+            node = below.get(node << 8 | byte)
             if node is not None:
                 token = self._entry_at(node)
                 if token is not None and (not pending or self._are_apart(pending[-1], token)):
@@ -324,6 +331,7 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
         self.known: dict[str, Entry] = {}
+        self.made = 0
 
     def _runs(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, in lists of bounded length."""
@@ -338,6 +346,10 @@ class Codec:
         ids = tuple(self.transducer.encode_piece(piece.encode("utf-8")))
         tokens = self.tokens
         entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
+        self.made += 1
+        if self.made % FREEZE_EVERY == 0:
+            # States and entries form no cycles; the collector need not walk them again.
+            gc.freeze()
         if len(ids) <= 64:
             if len(self.known) >= self.max_pieces:
                 self.known.clear()
@@ -375,25 +387,11 @@ class Codec:
             yield rest
 
 
-def kept_codec(ranks_path: str, pattern: str) -> Codec:
-    """A codec that stays with the Python worker, for all tasks that it runs.
-
-    States, moves and pieces that one task has met need not be made again by the next. The
-    worker holds the codec outside this module, which is shipped with every task anew.
-    """
-    kept = sys.modules.setdefault(KEPT, ModuleType(KEPT)).__dict__.setdefault("codecs", {})
-    key = (ranks_path, os.path.getmtime(ranks_path), pattern)
-    if key not in kept:
-        kept.clear()
-        kept[key] = Codec(read_ranks(ranks_path), pattern)
-    return kept[key]
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids``, the token ids of every whole text."""
 
     def start() -> Callable[[str], tuple]:
-        codec = kept_codec(ranks_path, pattern)
+        codec = Codec(read_ranks(ranks_path), pattern)
         return lambda text: (codec.encode(text),)
 
     return map_texts(docs, start, "ids array<int>")
@@ -406,7 +404,7 @@ def encode_checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
 
     def start() -> Callable[[str], tuple]:
-        codec = kept_codec(ranks_path, pattern)
+        codec = Codec(read_ranks(ranks_path), pattern)
 
         def row(text: str) -> tuple:
             ids, back = [], []
@@ -450,7 +448,7 @@ def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
     """Per document: number of tokens, digest of the ids, digest of the bytes decoded."""
 
     def start() -> Callable[[str], tuple]:
-        codec = kept_codec(ranks_path, pattern)
+        codec = Codec(read_ranks(ranks_path), pattern)
 
         def row(text: str) -> tuple:
             count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
