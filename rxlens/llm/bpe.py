@@ -24,7 +24,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
 import pyarrow as pa
@@ -36,7 +36,6 @@ from rxlens.llm.arrow import batch_of, map_texts
 
 MAX_STATES = 200_000
 MAX_PIECES = 600_000
-FREEZE_EVERY = 5_000
 #: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
 LISTED = 1 << 20
 
@@ -227,30 +226,51 @@ class Transducer:
         raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        out: list[int] = []
-        state = 0
-        moves = self.moves
-        for byte in piece[:-1]:
-            key = state << 8 | byte
-            move = moves.get(key)
-            if move is None:
-                if len(self.states) >= MAX_STATES:
-                    here = self.states[state]
-                    self._reset()
-                    moves = self.moves
-                    state = self.numbers.setdefault(here, len(self.states))
-                    if state == len(self.states):
-                        self.states.append(here)
-                    key = state << 8 | byte
-                move = moves[key] = self._move(state, byte)
-            state, final = move
-            if final:
-                out.extend(final)
-        out.extend(self._finish(state, piece[-1]))
-        return out
+        return next(self.encode_sorted([piece]))
+
+    def encode_sorted(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
+        """The tokens of each piece, in order.
+
+        A piece goes on from the state in which it leaves the piece before it, so sorted pieces
+        share the steps of their common beginnings.
+        """
+        # The state, and the number of tokens put out, behind each byte of the piece before.
+        trail, counts, out, before = [0], [0], [], b""
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                yield [whole]
+                continue
+            same, most = 0, min(len(trail), len(piece)) - 1
+            while same < most and piece[same] == before[same]:
+                same += 1
+            del trail[same + 1 :], counts[same + 1 :], out[counts[same] :]
+            state, moves = trail[same], self.moves
+            for byte in piece[same:-1]:
+                key = state << 8 | byte
+                move = moves.get(key)
+                if move is None:
+                    if len(self.states) >= MAX_STATES:
+                        here = self.states[state]
+                        self._reset()
+                        moves = self.moves
+                        state = self.numbers.setdefault(here, len(self.states))
+                        if state == len(self.states):
+                            self.states.append(here)
+                        # The trail's numbers are void: the next piece starts anew.
+                        before = None
+                        key = state << 8 | byte
+                    move = moves[key] = self._move(state, byte)
+                state, final = move
+                if final:
+                    out.extend(final)
+                trail.append(state)
+                counts.append(len(out))
+            yield [*out, *self._finish(state, piece[-1])]
+            if before is None:
+                trail, counts, out, before = [0], [0], [], b""
+            else:
+                before = piece
 
 
 class Utf8Decoder:
@@ -331,7 +351,6 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
         self.known: dict[str, Entry] = {}
-        self.made = 0
 
     def _runs(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, in lists of bounded length."""
@@ -342,19 +361,22 @@ class Codec:
         while run := [m[0] for m in islice(matches, LISTED // 8)]:
             yield run
 
-    def _entry(self, piece: str) -> Entry:
-        ids = tuple(self.transducer.encode_piece(piece.encode("utf-8")))
-        tokens = self.tokens
-        entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
-        self.made += 1
-        if self.made % FREEZE_EVERY == 0:
-            # States and entries form no cycles; the collector need not walk them again.
-            gc.freeze()
-        if len(ids) <= 64:
-            if len(self.known) >= self.max_pieces:
-                self.known.clear()
-            self.known[piece] = entry
-        return entry
+    def _learn(self, pieces: Iterable[str]) -> dict[str, Entry]:
+        """Entries of pieces that are not known; all but very long ones are kept."""
+        tokens, known, made = self.tokens, self.known, {}
+        order = sorted([(piece.encode("utf-8"), piece) for piece in pieces])
+        encoded = self.transducer.encode_sorted([raw for raw, _ in order])
+        for (_, piece), found in zip(order, encoded):
+            ids = tuple(found)
+            entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
+            made[piece] = entry
+            if len(ids) <= 64:
+                if len(known) >= self.max_pieces:
+                    known.clear()
+                known[piece] = entry
+        # States and entries form no cycles; the collector need not walk them again.
+        gc.freeze()
+        return made
 
     def entries(self, text: str) -> Iterator[list[Entry]]:
         """Ids, digits and decoded bytes of the pieces of a text, in lists of bounded length."""
@@ -362,9 +384,8 @@ class Codec:
         for run in self._runs(text):
             found = list(map(known.get, run))
             if None in found:
-                for at, entry in enumerate(found):
-                    if entry is None:
-                        found[at] = known.get(run[at]) or self._entry(run[at])
+                made = self._learn({p for p, entry in zip(run, found) if entry is None})
+                found = [entry or made[piece] for piece, entry in zip(run, found)]
             if found:
                 yield found
 

@@ -40,6 +40,15 @@ def test_random_pieces_as_the_library(ranks, library, monkeypatch):
         assert transducer.encode_piece(piece) == library._core_bpe.encode_single_piece(piece)
 
 
+def test_sorted_pieces_share_their_beginnings(ranks, library, monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_STATES", 500)  # the trail is given up when the table is emptied
+    rnd = random.Random(2)
+    pieces = [bytes(rnd.choice(b"aeinrt ") for _ in range(rnd.randint(1, 14))) for _ in range(5000)]
+    for order in (sorted(pieces), pieces):
+        got = list(bpe.Transducer(ranks).encode_sorted(order))
+        assert got == [library._core_bpe.encode_single_piece(p) for p in order]
+
+
 def test_entries_that_merging_cannot_reach():
     ranks = {b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"bc": 4, b"abca": 5}
     transducer = bpe.Transducer(ranks)
