@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from rxlens.llm.arrow import batch_of, map_texts
 
 MAX_STATES = 200_000
-MAX_PIECES = 600_000
+MAX_PIECES = 400_000
 #: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
 LISTED = 1 << 20
 
@@ -365,17 +365,22 @@ class Codec:
         """Entries of pieces that are not known; all but very long ones are kept."""
         tokens, known, made = self.tokens, self.known, {}
         order = sorted([(piece.encode("utf-8"), piece) for piece in pieces])
-        encoded = self.transducer.encode_sorted([raw for raw, _ in order])
-        for (_, piece), found in zip(order, encoded):
-            ids = tuple(found)
-            entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
-            made[piece] = entry
-            if len(ids) <= 64:
-                if len(known) >= self.max_pieces:
-                    known.clear()
-                known[piece] = entry
-        # States and entries form no cycles; the collector need not walk them again.
-        gc.freeze()
+        # States and entries form no cycles; the collector need not walk them meanwhile.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            encoded = self.transducer.encode_sorted([raw for raw, _ in order])
+            for (_, piece), found in zip(order, encoded):
+                ids = tuple(found)
+                entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
+                made[piece] = entry
+                if len(ids) <= 64:
+                    if len(known) >= self.max_pieces:
+                        known.clear()
+                    known[piece] = entry
+        finally:
+            if collects:
+                gc.enable()
         return made
 
     def entries(self, text: str) -> Iterator[list[Entry]]:
