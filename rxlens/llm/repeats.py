@@ -9,15 +9,19 @@ A string of ``WINDOW`` bytes that starts at two places (of one document or of tw
    row per anchor (about one in 85 bytes) leaves the documents, not one per byte.
 2. **Groups.** Rows are counted by anchor. An anchor that occurs once owns no repeated
    window. If all its occurrences own the same text, all their windows are repeated.
-3. **Merge.** Where the owned texts of an anchor differ, their distinct texts are compared:
-   they are dealt into shards, each shard gets its Burrows-Wheeler transform, and the
-   transforms are merged by refining the interleave one symbol per round
-   (``merged_intervals``): after ``h`` rounds, rows that are still in one interval share ``h``
-   bytes, so the intervals left after ``WINDOW`` rounds are the repeated strings. No suffix
-   of one shard is ever compared with, or sorted among, the suffixes of another.
-4. **Hot anchors.** An anchor with more than ``MAX_CONTEXTS`` different texts does not meet in
+3. **Transforms.** Where the owned texts of an anchor differ, its distinct texts must be
+   compared. Anchors are dealt into buckets of about ``BUCKET_BYTES``, the texts of a bucket
+   into ``SHARDS`` shards by their hash, and each shard becomes one row that holds its
+   Burrows-Wheeler transform (``transforms.transform``). The texts go no further.
+4. **Merge.** The transforms of a bucket are merged by interleave refinement
+   (``transforms.common_lengths``), which gives each window the length it shares with another
+   one; those that share ``WINDOW`` bytes are the repeated strings.
+5. **Hot anchors.** An anchor with more than ``MAX_CONTEXTS`` different texts does not meet in
    one task: its windows are counted by a 128-bit hash in a plain aggregation instead, which
-   Spark combines before the shuffle.
+   Spark combines before the shuffle. Nothing is left out, but that part is no merge.
+
+Two hashes are trusted: texts around one anchor are told apart by 64 bits, and the windows of hot
+anchors by 128. Anchors that collide only share a bucket; their bytes decide.
 
 Defined results: a null text is empty; a text shorter than a window loses nothing; rows that
 repeat (same id, same text) are documents of their own, so a long one loses everything; a null
@@ -28,6 +32,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +41,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rxlens.llm.transforms import Transform, common_lengths, transform
 from rxlens.operators.reuse import checkpoint_stage
 
 WINDOW = 200
 ANCHOR = 32
 MAX_CONTEXTS = 2000
-BLOCK_BYTES = 1 << 20
-SHARD_BYTES = 1 << 17
+BUCKET_BYTES = 1 << 17
+SHARDS = 4
 _STEP = 1 << 16
 _LOW = np.uint64(0x1FFFF)
 
@@ -168,68 +175,6 @@ def anchors(docs: DataFrame) -> DataFrame:
     return keyed(docs).mapInArrow(_anchor_rows, _ANCHORS)
 
 
-def refine(text: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge by interleave refinement: rows whose last ``depth`` bytes before ``ends`` agree.
-
-    ``text`` holds the shards end to end; a row is a place in it. The interleave starts with
-    the rows of the shards one behind the other in a single interval. A round takes, for each
-    row in the present order, the transform's symbol (the two bytes before the row's place),
-    deals the rows out by symbol without changing their order otherwise, and steps back: that
-    is the LF mapping. Intervals split where symbols or earlier intervals differ. A row alone
-    in its interval stays alone in every later round, so it leaves.
-
-    Returns the rows that share all ``depth`` bytes with another row, and their intervals.
-    """
-    rows = np.arange(len(ends))
-    place = ends.astype(np.int64)
-    interval = np.zeros(len(ends), dtype=np.int64)
-    left = depth
-    while left and len(rows):
-        step = 2 if left > 1 else 1
-        symbol = text[place - 1].astype(np.uint16)
-        if step == 2:
-            symbol = symbol * np.uint16(256) + text[place - 2]
-        deal = np.argsort(symbol, kind="stable")
-        symbol, interval = symbol[deal], interval[deal]
-        new = np.empty(len(deal), dtype=bool)
-        new[0] = True
-        new[1:] = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
-        shared = ~new
-        shared[:-1] |= ~new[1:]
-        interval = np.cumsum(new)[shared]
-        deal = deal[shared]
-        rows, place = rows[deal], place[deal] - step
-        left -= step
-    return rows, interval
-
-
-def merged_intervals(contexts: list[bytes], copies: np.ndarray, window: int = WINDOW):
-    """For each context, which of its windows occur elsewhere too.
-
-    The contexts are dealt into shards in order; all shards' transforms are merged together.
-    Returns one boolean array per context, one value per window start.
-    """
-    shards: list[list[bytes]] = [[]]
-    size = 0
-    for c in contexts:
-        if size + len(c) > SHARD_BYTES and shards[-1]:
-            shards.append([])
-            size = 0
-        shards[-1].append(c)
-        size += len(c)
-    text = np.frombuffer(b"".join(b"".join(s) for s in shards), dtype=np.uint8)
-    lengths = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts))
-    begin = np.cumsum(lengths) - lengths
-    n = np.maximum(lengths - window + 1, 0)
-    owner = np.repeat(np.arange(len(contexts)), n)
-    first = np.cumsum(n) - n
-    place = begin[owner] + np.arange(len(owner)) - first[owner]
-    rows, _ = refine(text, place + window, window)
-    hit = np.repeat(copies > 1, n)
-    hit[rows] = True
-    return np.split(hit, first[1:]) if len(contexts) else []
-
-
 def _runs(hit: np.ndarray) -> list[dict]:
     edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
     return [{"lo": int(a), "hi": int(b)} for a, b in zip(edge[::2], edge[1::2])]
@@ -240,15 +185,52 @@ _VERDICTS = f"anchor long, owned long, runs {_RUNS}"
 _RUNS_ARROW = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by anchor; whole anchors are gathered into blocks of bounded size."""
-    held: list[tuple[int, int, int, bytes]] = []
-    size = 0
+_SHARDS = (
+    "bucket long, shard int, symbols binary, whole int, ends array<int>, counts array<int>, "
+    "anchors array<long>, owned array<long>, copies array<long>"
+)
+_SHARDS_ARROW = pa.schema(
+    [("bucket", pa.int64()), ("shard", pa.int32()), ("symbols", pa.binary())]
+    + [("whole", pa.int32()), ("ends", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))]
+    + [(c, pa.list_(pa.int64())) for c in ("anchors", "owned", "copies")]
+)
+
 
-    def verdicts():
-        hits = merged_intervals([x[3] for x in held], np.array([x[2] for x in held]))
-        found = [(x[0], x[1], r) for x, h in zip(held, hits) if (r := _runs(h))]
-        return pa.RecordBatch.from_arrays(
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
+
+
+def _transforms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``bucket, shard, anchor, owned, copies, body`` come sorted; one row per shard goes."""
+    for (bucket, shard), rows in groupby(_rows(batches), key=itemgetter(0, 1)):
+        _, _, anchors, owned, copies, bodies = zip(*rows)
+        made = transform(list(bodies))
+        counts = [max(0, len(body) - WINDOW + 1) for body in bodies]
+        row = (bucket, shard, made.symbols.tobytes(), made.whole, made.ends.tolist(), counts)
+        row += (list(anchors), list(owned), list(copies))
+        yield pa.RecordBatch.from_pylist([dict(zip(_SHARDS_ARROW.names, row))], _SHARDS_ARROW)
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards come sorted by bucket; each bucket's transforms are merged into verdicts."""
+    for _, rows in groupby(_rows(batches), key=itemgetter(0)):
+        shards = list(rows)
+        counts = [np.array(x[5], dtype=np.int32) for x in shards]
+        lengths = common_lengths(
+            [
+                Transform(np.frombuffer(x[2], dtype=np.uint8), x[3], np.array(x[4], np.int32))
+                for x in shards
+            ],
+            counts,
+            WINDOW,
+        )
+        found = []
+        for (*_, anchors, owned, copies), count, length in zip(shards, counts, lengths):
+            hit = (length == WINDOW) | np.repeat(np.array(copies) > 1, count)
+            hits = np.split(hit, np.cumsum(count)[:-1])
+            found += [(a, o, r) for a, o, h in zip(anchors, owned, hits) if (r := _runs(h))]
+        yield pa.RecordBatch.from_arrays(
             [
                 pa.array([x[0] for x in found], pa.int64()),
                 pa.array([x[1] for x in found], pa.int64()),
@@ -257,17 +239,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["anchor", "owned", "runs"],
         )
 
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "owned", "copies", "body")]
-        for row in zip(*columns):
-            if size >= BLOCK_BYTES and row[0] != held[-1][0]:
-                yield verdicts()
-                held, size = [], 0
-            held.append(row)
-            size += len(row[3])
-    if held:
-        yield verdicts()
-
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The owned texts of the contexts asked for, out of their documents."""
@@ -305,6 +276,25 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+def _merged(contexts: DataFrame, bucket_bytes: int, shards: int) -> DataFrame:
+    """Verdicts by merging transforms: a row per shard, then a merge per bucket of anchors."""
+    size = F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("size")
+    buckets = contexts.agg(size).first()["size"] // bucket_bytes + 1
+    keys = [
+        F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("bucket"),
+        F.pmod("owned", F.lit(shards)).cast("int").alias("shard"),
+    ]
+    return (
+        contexts.select(*keys, "anchor", "owned", "copies", "body")
+        .repartition("bucket", "shard")
+        .sortWithinPartitions("bucket", "shard", "anchor", "owned")
+        .mapInArrow(_transforms, _SHARDS)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", "shard")
+        .mapInArrow(_merge, _VERDICTS)
+    )
+
+
 def _counted(contexts: DataFrame) -> DataFrame:
     """Verdicts for hot anchors: windows counted by hash, combined before the shuffle."""
     windows = contexts.mapInArrow(
@@ -328,7 +318,12 @@ def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["dh"] == b["dh"])
 
 
-def repeated_spans(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame,
+    max_contexts: int = MAX_CONTEXTS,
+    bucket_bytes: int = BUCKET_BYTES,
+    shards: int = SHARDS,
+) -> DataFrame:
     """Byte spans under repeated strings, as one array ``spans`` per text that has any.
 
     Spans may overlap. Keyed by ``doc_id`` and ``dh`` as in ``keyed``.
@@ -373,12 +368,7 @@ def repeated_spans(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFra
             F.max("body").alias("body"),
         )
     )
-    plain = (
-        contexts.filter("not hot")
-        .repartition("anchor")
-        .sortWithinPartitions("anchor", "owned")
-        .mapInArrow(_compare, _VERDICTS)
-    )
+    plain = _merged(contexts.filter("not hot"), bucket_bytes, shards)
     verdicts = plain.unionByName(_counted(contexts.filter("hot")))
     partly = (
         mixed.join(verdicts, ["anchor", "owned"])

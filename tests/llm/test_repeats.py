@@ -75,12 +75,15 @@ def test_texts_without_repeats_keep_rows_and_columns(spark):
     assert (12, 5000) in left and (4, 0) in left and (1, 7) in left
 
 
-def test_refinement_finds_shared_ends():
-    text = np.frombuffer(b"xxabcdyyabcdzzabce", dtype=np.uint8)
-    found, interval = repeats.refine(text, np.array([6, 12, 18]), 3)
-    assert sorted(found.tolist()) == [0, 1] and len(set(interval.tolist())) == 1
-    # All three share "abc" one byte earlier.
-    assert len(repeats.refine(text, np.array([5, 11, 17]), 3)[0]) == 3
+def test_buckets_and_shards_change_nothing(spark):
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in hard_rows()], SCHEMA)
+
+    def spans(**sizes):
+        found = repeats.repeated_spans(docs, **sizes).collect()
+        joined = [(r["doc_id"], r["dh"], repeats.joined_spans(r["spans"])) for r in found]
+        return sorted(joined, key=repr)
+
+    assert spans(bucket_bytes=1, shards=1) == spans(bucket_bytes=1 << 30, shards=7)
 
 
 def test_anchors_own_each_window_once():
