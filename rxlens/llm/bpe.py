@@ -32,11 +32,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import batch_of, map_texts
+from rxlens.llm.arrow import batch_of, map_texts, plain_texts
 
 MAX_STATES = 200_000
 MAX_PIECES = 400_000
-#: Characters of a text whose pieces are listed at once; longer texts go piece by piece.
+#: Characters whose pieces are listed at once; a longer text goes piece by piece.
 LISTED = 1 << 20
 
 
@@ -394,6 +394,35 @@ class Codec:
             if found:
                 yield found
 
+    def entries_of(self, texts: Iterable[str]) -> Iterator[Iterable[list[Entry]]]:
+        """For each text what ``entries`` gives; texts next to each other learn together.
+
+        More pieces are sorted at once that way, and share more of their beginnings.
+        """
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > LISTED:
+                yield from self._together(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._together(held)
+
+    def _together(self, texts: list[str]) -> Iterator[Iterable[list[Entry]]]:
+        if len(texts) < 2:
+            yield from map(self.entries, texts)
+            return
+        runs = list(map(self.pattern.findall, texts))
+        found = [list(map(self.known.get, run)) for run in runs]
+        made = self._learn(
+            {p for run, have in zip(runs, found) for p, entry in zip(run, have) if entry is None}
+        )
+        for run, have in zip(runs, found):
+            if None in have:
+                have = [entry or made[piece] for piece, entry in zip(run, have)]
+            yield [have] if have else []
+
     def encode(self, text: str) -> list[int]:
         return [i for found in self.entries(text) for entry in found for i in entry[0]]
 
@@ -423,30 +452,46 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return map_texts(docs, start, "ids array<int>")
 
 
+def _map_entries(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    row: Callable[[str, Iterable[list[Entry]]], tuple],
+    schema: str,
+) -> DataFrame:
+    """``doc_id`` and the values of ``row`` for every whole text and its entries."""
+    whole = f"doc_id long, {schema}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = None
+        for batch in batches:
+            codec = codec or Codec(read_ranks(ranks_path), pattern)
+            texts = batch.column("text").to_pylist()
+            found = zip(batch.column("doc_id").to_pylist(), texts, codec.entries_of(texts))
+            yield batch_of([(i, *row(text, entries)) for i, text, entries in found], whole)
+
+    return plain_texts(docs).mapInArrow(run, whole)
+
+
 def encode_checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` and ``text_sha256`` of every whole text.
 
     The ids are decoded again; a text that does not come back fails the job.
     """
 
-    def start() -> Callable[[str], tuple]:
-        codec = Codec(read_ranks(ranks_path), pattern)
-
-        def row(text: str) -> tuple:
-            ids, back = [], []
-            machine = Utf8Decoder()
-            for found in codec.entries(text):
-                tokens, _, raw = zip(*found)
-                ids.extend(chain.from_iterable(tokens))
-                back.append(machine.push(b"".join(raw)))
-            back = "".join(back)
-            if back + machine.end() != text:
-                raise ValueError("a text changed on its way through the tokens")
-            return len(ids), ids, hashlib.sha256(text.encode()).hexdigest()
-
-        return row
+    def row(text: str, entries: Iterable[list[Entry]]) -> tuple:
+        ids, back = [], []
+        machine = Utf8Decoder()
+        for found in entries:
+            ids.extend(chain.from_iterable([entry[0] for entry in found]))
+            back.append(machine.push(b"".join([entry[2] for entry in found])))
+        back = "".join(back)
+        if back + machine.end() != text:
+            raise ValueError("a text changed on its way through the tokens")
+        return len(ids), ids, hashlib.sha256(text.encode()).hexdigest()
 
-    return map_texts(docs, start, "n_tokens long, ids array<int>, text_sha256 string")
+    schema = "n_tokens long, ids array<int>, text_sha256 string"
+    return _map_entries(docs, ranks_path, pattern, row, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -473,22 +518,18 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the bytes decoded."""
 
-    def start() -> Callable[[str], tuple]:
-        codec = Codec(read_ranks(ranks_path), pattern)
-
-        def row(text: str) -> tuple:
-            count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
-            machine = Utf8Decoder()
-            for found in codec.entries(text):
-                tokens, digits, raw = zip(*found)
-                if count:
-                    listed.update(b",")
-                count += sum(map(len, tokens))
-                listed.update(",".join(digits).encode())
-                decoded.update(machine.push(b"".join(raw)).encode())
-            decoded.update(machine.end().encode())
-            return count, listed.hexdigest(), decoded.hexdigest()
-
-        return row
-
-    return map_texts(docs, start, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def row(text: str, entries: Iterable[list[Entry]]) -> tuple:
+        count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        machine = Utf8Decoder()
+        for found in entries:
+            if count:
+                listed.update(b",")
+            count += sum([len(entry[0]) for entry in found])
+            listed.update(",".join([entry[1] for entry in found]).encode())
+            raw = b"".join([entry[2] for entry in found])
+            decoded.update(machine.push(raw).encode())
+        decoded.update(machine.end().encode())
+        return count, listed.hexdigest(), decoded.hexdigest()
+
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _map_entries(docs, ranks_path, pattern, row, schema)

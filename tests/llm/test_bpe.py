@@ -95,3 +95,17 @@ def test_state_machine_as_strict_decoder():
             out += machine.push(data[at : at + step])
             at += step
         assert out + machine.end() == data.decode("utf-8", "replace")
+
+
+@pytest.mark.parametrize("listed, max_pieces", [(1 << 20, 400_000), (30, 400_000), (200, 5), (1, 2)])
+def test_texts_that_learn_together_keep_their_own_ids(ranks, monkeypatch, listed, max_pieces):
+    monkeypatch.setattr(bpe, "LISTED", listed)
+    texts = ["", "hello hello", "x", "", "naïve café 12345", "hello x", "zq" * 60, "", "hello hello"]
+    codec = bpe.Codec(ranks, PATTERN, max_pieces)
+    alone = bpe.Codec(ranks, PATTERN)
+    got = [
+        [i for found in entries for entry in found for i in entry[0]]
+        for entries in codec.entries_of(texts)
+    ]
+    assert got == [alone.encode(text) for text in texts]
+    assert list(codec.entries_of([])) == []
