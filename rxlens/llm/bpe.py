@@ -8,10 +8,12 @@ how far the next token reaches: starts from which some longer entry may still ma
 *open*, and tokens that every open start and the present end have in common are final.
 
 The transducer's state is what the future depends on: for each open start, its node in the
-vocabulary's trie and the tokens that are not yet final there. It is relative to the present
-place, so equal situations in different pieces share a state. States and their transitions
-are made when first met and kept in a table that is emptied when full; a transition emits the
-tokens that became final. Look-ahead is bounded by the longest vocabulary entry.
+vocabulary's trie and the token before that start, and the token at the present end. It is
+relative to the present place, so equal situations in different pieces share a state. States
+and their transitions are made when first met and kept in a table that is emptied when full.
+Each step tells the token that ends at the present place; tokens are put out by following these
+back. Chains from all open starts meet after a bounded look-ahead, and what lies before their
+meeting is final: a very long piece puts it out on the way, others at their end.
 
 The vocabulary file is read once per task from ``ranks_path``, which every executor must have.
 
@@ -27,6 +29,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -38,6 +41,10 @@ MAX_STATES = 200_000
 MAX_PIECES = 400_000
 #: Characters whose pieces are listed at once; a longer text goes piece by piece.
 LISTED = 1 << 20
+#: Bytes of a piece after which tokens are put out before its end.
+LONG = 4096
+#: Pieces that take their steps together, and the bytes beyond which a piece goes alone.
+TOGETHER, SHORT = 16_384, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -128,10 +135,13 @@ class Transducer:
         self.ranks = ranks
         self.merges = Merges(ranks)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # The trie: node and byte to node; per node whether longer entries go on, and the
-        # entry that ends there (None, or -1 - rank until it is known to be reachable).
+        self.sizes = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        self.sizes[list(ranks.values())] = [len(token) for token in ranks]
+        # The trie: node and byte to node; per node whether longer entries go on, how deep it
+        # lies, and the entry that ends there (None, or -1 - rank until known to be reachable).
         self.below: dict[int, int] = {}
         self.goes_on = [False]
+        self.depth = [0]
         self.entry: list[int | None] = [None]
         for token, rank in ranks.items():
             node = 0
@@ -141,6 +151,7 @@ class Transducer:
                     self.below[key] = len(self.entry)
                     self.goes_on[node] = True
                     self.goes_on.append(False)
+                    self.depth.append(self.depth[node] + 1)
                     self.entry.append(None)
                 node = self.below[key]
             self.entry[node] = -1 - rank
@@ -148,12 +159,21 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # A state: open starts as (node, pending tokens before that start), oldest first, and
-        # last the present end as (0, pending tokens before it).
-        start = ((0, ()),)
+        # A state: open starts as (node, token before that start), oldest first, and last the
+        # present end as (0, token before it); -1 before the piece.
+        start = ((0, -1),)
         self.states = [start]
+        self.ends = [-1]
         self.numbers = {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.moves: dict[int, int] = {}
+
+    def _number(self, state: tuple) -> int:
+        known = self.numbers.get(state)
+        if known is None:
+            known = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.ends.append(state[-1][1])
+        return known
 
     def _entry_at(self, node: int) -> int | None:
         rank = self.entry[node]
@@ -165,6 +185,8 @@ class Transducer:
         return rank
 
     def _are_apart(self, left: int, right: int) -> bool:
+        if left < 0:
+            return True
         key = left << 32 | right
         known = self._apart.get(key)
         if known is None:
@@ -174,11 +196,12 @@ class Transducer:
             self._apart[key] = known
         return known
 
-    def _move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _move(self, number: int, byte: int) -> int:
+        """The state after ``byte``."""
         grown = []
         ended = None
         below, goes_on, entry, apart = self.below, self.goes_on, self.entry, self._apart
-        for node, pending in self.states[number]:
+        for node, before in self.states[number]:
             node = below.get(node << 8 | byte)
             if node is None:
                 continue
@@ -187,90 +210,145 @@ class Transducer:
                 if token is not None and token < 0:
                     token = self._entry_at(node)
                 if token is not None:
-                    if pending:
-                        fits = apart.get(pending[-1] << 32 | token)
-                        if fits is None:
-                            fits = self._are_apart(pending[-1], token)
-                        if fits:
-                            ended = (*pending, token)
-                    else:
-                        ended = (token,)
+                    fits = apart.get(before << 32 | token)
+                    if fits is None:
+                        fits = self._are_apart(before, token)
+                    if fits:
+                        ended = token
             if goes_on[node]:
-                grown.append((node, pending))
+                grown.append((node, before))
         if ended is None:
             raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
         grown.append((0, ended))
-        # Tokens common to all are final, but the last of them decides what may follow.
-        common, first = 0, grown[0][1]
-        if len(first) > 1:
-            last = min([len(p) for _, p in grown]) - 1
-            while common < last and all([p[common] == first[common] for _, p in grown]):
-                common += 1
-        final = first[:common]
-        state = tuple([(node, p[common:]) for node, p in grown] if common else grown)
-        known = self.numbers.get(state)
-        if known is None:
-            known = self.numbers[state] = len(self.states)
-            self.states.append(state)
-        return known, final
+        return self._number(tuple(grown))
 
-    def _finish(self, number: int, byte: int) -> tuple[int, ...]:
-        """The pending tokens if the piece ends with ``byte``."""
+    def _finish(self, number: int, byte: int) -> int:
+        """The last token if the piece ends with ``byte``."""
+        move = self.moves.get(number << 8 | byte)
+        if move is not None:
+            return self.ends[move]
         below = self.below
-        for node, pending in self.states[number]:
+        for node, before in self.states[number]:
             node = below.get(node << 8 | byte)
             if node is not None:
                 token = self._entry_at(node)
-                if token is not None and (not pending or self._are_apart(pending[-1], token)):
-                    return pending + (token,)
+                if token is not None and self._are_apart(before, token):
+                    return token
         raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        return next(self.encode_sorted([piece]))
-
-    def encode_sorted(self, pieces: Iterable[bytes]) -> Iterator[list[int]]:
-        """The tokens of each piece, in order.
-
-        A piece goes on from the state in which it leaves the piece before it, so sorted pieces
-        share the steps of their common beginnings.
+        """The tokens of a piece."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        if len(piece) > LONG:
+            return list(self.stream(piece))
+        if len(self.states) + len(piece) > MAX_STATES:
+            self._reset()
+        state, ended = 0, []
+        for byte in piece[:-1]:
+            state = self._after(state << 8 | byte)
+            ended.append(self.ends[state])
+        ended.append(self._finish(state, piece[-1]))
+        return self._chain(ended, len(ended))
+
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all pieces one after another, and how many each piece has.
+
+        The pieces take their steps together: at each place every pair of state and byte is
+        looked up once for all pieces that share it.
         """
-        # The state, and the number of tokens put out, behind each byte of the piece before.
-        trail, counts, out, before = [0], [0], [], b""
-        for piece in pieces:
+        flat, counts = [], []
+        for at in range(0, len(pieces), TOGETHER):
+            if len(self.states) >= MAX_STATES:
+                self._reset()
+            tokens, count = self._encode_block(pieces[at : at + TOGETHER])
+            flat.append(tokens)
+            counts.append(count)
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *flat]), np.concatenate([none, *counts])
+
+    def _encode_block(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        alone = {}
+        for i, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
-                yield [whole]
-                continue
-            same, most = 0, min(len(trail), len(piece)) - 1
-            while same < most and piece[same] == before[same]:
-                same += 1
-            del trail[same + 1 :], counts[same + 1 :], out[counts[same] :]
-            state, moves = trail[same], self.moves
-            for byte in piece[same:-1]:
-                key = state << 8 | byte
-                move = moves.get(key)
-                if move is None:
-                    if len(self.states) >= MAX_STATES:
-                        here = self.states[state]
-                        self._reset()
-                        moves = self.moves
-                        state = self.numbers.setdefault(here, len(self.states))
-                        if state == len(self.states):
-                            self.states.append(here)
-                        # The trail's numbers are void: the next piece starts anew.
-                        before = None
-                        key = state << 8 | byte
-                    move = moves[key] = self._move(state, byte)
-                state, final = move
-                if final:
-                    out.extend(final)
-                trail.append(state)
-                counts.append(len(out))
-            yield [*out, *self._finish(state, piece[-1])]
-            if before is None:
-                trail, counts, out, before = [0], [0], [], b""
-            else:
-                before = piece
+                alone[i] = [whole]
+            elif len(piece) > SHORT:
+                alone[i] = self.encode_piece(piece)
+        sizes = np.array([len(p) for p in pieces])
+        rows = np.array([i for i in range(len(pieces)) if i not in alone], np.int64)
+        # The longest first: those that go on at a place are then the first ones.
+        rows = rows[np.argsort(-sizes[rows], kind="stable")]
+        lengths = sizes[rows]
+        data = np.frombuffer(b"".join([pieces[i] for i in rows.tolist()]), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        states = np.zeros(len(rows), np.int64)
+        ended = np.zeros((int(lengths.max(initial=0)), len(rows)), np.int64)
+        for place in range(len(ended)):
+            here, on = np.searchsorted(-lengths, [-place, -place - 1]).tolist()
+            keys = states[:here] << 8 | data[starts[:here] + place]
+            steps, which = np.unique(keys[:on], return_inverse=True)
+            after = [self._after(key) for key in steps.tolist()]
+            states[:on] = np.array(after, np.int64)[which]
+            ended[place, :on] = np.array([self.ends[state] for state in after], np.int64)[which]
+            steps, which = np.unique(keys[on:], return_inverse=True)
+            last = [self._finish(key >> 8, key & 255) for key in steps.tolist()]
+            ended[place, on:here] = np.array(last, np.int64)[which]
+        # Follow the tokens back from the ends, again all pieces together.
+        of = [np.full(len(tokens), i) for i, tokens in alone.items()]
+        found = [np.array(tokens, np.int64) for tokens in alone.values()]
+        still, left = np.arange(len(rows)), lengths.copy()
+        while len(still):
+            tokens = ended[left[still] - 1, still]
+            of.append(rows[still])
+            found.append(tokens)
+            left[still] -= self.sizes[tokens]
+            still = still[left[still] > 0]
+        of, found = np.concatenate(of[::-1]), np.concatenate(found[::-1])
+        return found[np.argsort(of, kind="stable")], np.bincount(of, minlength=len(pieces))
+
+    def _after(self, key: int) -> int:
+        """The state after a state and a byte, joined as ``state << 8 | byte``."""
+        state = self.moves.get(key)
+        if state is None:
+            state = self.moves[key] = self._move(key >> 8, key & 255)
+        return state
+
+    def stream(self, piece: bytes) -> Iterator[int]:
+        """The tokens of a long piece, put out as soon as a look at every ``LONG`` bytes finds
+        them final; what is kept does not grow with the piece."""
+        ended, state = [], 0
+        for place, byte in enumerate(piece, 1):
+            if len(self.states) >= MAX_STATES:
+                here = self.states[state]
+                self._reset()
+                state = self._number(here)
+            state = self._after(state << 8 | byte)
+            ended.append(self.ends[state])
+            if place % LONG == 0 or place == len(piece):
+                depths = [0] if place == len(piece) else [
+                    self.depth[node] for node, _ in self.states[state]
+                ]
+                final = self._meeting(ended, [len(ended) - depth for depth in depths])
+                yield from self._chain(ended, final)
+                del ended[:final]
+
+    def _meeting(self, ended: list[int], places: list[int]) -> int:
+        """The last place that the chains of tokens back from all of ``places`` go through."""
+        while len(set(places)) > 1:
+            last = max(places)
+            places = [p - len(self.tokens[ended[p - 1]]) if p == last else p for p in places]
+        return places[0]
+
+    def _chain(self, ended: list[int], place: int) -> list[int]:
+        """The tokens that lead to a place."""
+        out = []
+        while place:
+            out.append(ended[place - 1])
+            place -= len(self.tokens[out[-1]])
+        out.reverse()
+        return out
 
 
 class Utf8Decoder:
@@ -363,21 +441,25 @@ class Codec:
 
     def _learn(self, pieces: Iterable[str]) -> dict[str, Entry]:
         """Entries of pieces that are not known; all but very long ones are kept."""
-        tokens, known, made = self.tokens, self.known, {}
-        order = sorted([(piece.encode("utf-8"), piece) for piece in pieces])
+        pieces, known = list(pieces), self.known
         # States and entries form no cycles; the collector need not walk them meanwhile.
         collects = gc.isenabled()
         gc.disable()
         try:
-            encoded = self.transducer.encode_sorted([raw for raw, _ in order])
-            for (_, piece), found in zip(order, encoded):
-                ids = tuple(found)
-                entry = (ids, ",".join(map(str, ids)), b"".join([tokens[i] for i in ids]))
+            ids, counts = self.transducer.encode_many([piece.encode("utf-8") for piece in pieces])
+            sizes, ids, ends = self.transducer.sizes[ids], ids.tolist(), np.cumsum(counts)
+            raw = b"".join([self.tokens[i] for i in ids])
+            bytes_to = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
+            digits = list(map(str, ids))
+            made, at, byte = {}, 0, 0
+            for piece, end, to in zip(pieces, ends.tolist(), bytes_to):
+                entry = (tuple(ids[at:end]), ",".join(digits[at:end]), raw[byte:to])
                 made[piece] = entry
-                if len(ids) <= 64:
+                if end - at <= 64:
                     if len(known) >= self.max_pieces:
                         known.clear()
                     known[piece] = entry
+                at, byte = end, to
         finally:
             if collects:
                 gc.enable()
@@ -397,7 +479,7 @@ class Codec:
     def entries_of(self, texts: Iterable[str]) -> Iterator[Iterable[list[Entry]]]:
         """For each text what ``entries`` gives; texts next to each other learn together.
 
-        More pieces are sorted at once that way, and share more of their beginnings.
+        More pieces take their steps together that way, and share more of them.
         """
         held: list[str] = []
         size = 0

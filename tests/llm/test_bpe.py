@@ -40,13 +40,20 @@ def test_random_pieces_as_the_library(ranks, library, monkeypatch):
         assert transducer.encode_piece(piece) == library._core_bpe.encode_single_piece(piece)
 
 
-def test_sorted_pieces_share_their_beginnings(ranks, library, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_STATES", 500)  # the trail is given up when the table is emptied
+@pytest.mark.parametrize("together, short", [(16_384, 64), (700, 9), (1, 64)])
+def test_pieces_that_step_together(ranks, library, monkeypatch, together, short):
+    monkeypatch.setattr(bpe, "MAX_STATES", 500)  # the table is emptied on the way
+    monkeypatch.setattr(bpe, "TOGETHER", together)
+    monkeypatch.setattr(bpe, "SHORT", short)
     rnd = random.Random(2)
     pieces = [bytes(rnd.choice(b"aeinrt ") for _ in range(rnd.randint(1, 14))) for _ in range(5000)]
-    for order in (sorted(pieces), pieces):
-        got = list(bpe.Transducer(ranks).encode_sorted(order))
-        assert got == [library._core_bpe.encode_single_piece(p) for p in order]
+    pieces += [b" the" * 40, pieces[0], b"\xff", "é".encode() * 3000]
+    ids, counts = bpe.Transducer(ranks).encode_many(pieces)
+    want = [library._core_bpe.encode_single_piece(p) for p in pieces]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    ids, counts = bpe.Transducer(ranks).encode_many([])
+    assert len(ids) == len(counts) == 0
 
 
 def test_entries_that_merging_cannot_reach():
@@ -56,10 +63,14 @@ def test_entries_that_merging_cannot_reach():
     assert transducer.encode_piece(b"abcab") == [3, 2, 3]
 
 
-def test_long_pieces_need_bounded_lookahead(ranks, library):
-    transducer = bpe.Transducer(ranks)
-    for piece in (b"a" * 30_000, b" " * 5000, "é".encode() * 4000):
-        assert transducer.encode_piece(piece) == library._core_bpe.encode_single_piece(piece)
+def test_long_pieces_need_bounded_lookahead(ranks, library, monkeypatch):
+    rnd = random.Random(3)
+    mixed = bytes(rnd.choice(b"aeinrst ") for _ in range(9000))
+    for step in (4096, 33):
+        monkeypatch.setattr(bpe, "LONG", step)
+        transducer = bpe.Transducer(ranks)
+        for piece in (b"a" * 30_000, b" " * 5000, "é".encode() * 4000, mixed):
+            assert transducer.encode_piece(piece) == library._core_bpe.encode_single_piece(piece)
 
 
 def test_whole_table_as_the_library(spark, sf_dir, library):
