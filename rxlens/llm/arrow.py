@@ -29,6 +29,13 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, so that few texts are held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def plain_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone, null texts empty."""
     return docs.select(

@@ -35,12 +35,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import batch_of, map_texts, plain_texts
+from rxlens.llm.arrow import batch_of, map_texts, plain_texts, slices
 
 MAX_STATES = 200_000
 MAX_PIECES = 400_000
 #: Characters whose pieces are listed at once; a longer text goes piece by piece.
 LISTED = 1 << 20
+#: Rows of a batch that are held as lists of ids at a time.
+ROWS = 1024
 #: Bytes of a piece after which tokens are put out before its end.
 LONG = 4096
 #: Pieces that take their steps together, and the bytes beyond which a piece goes alone.
@@ -546,7 +548,7 @@ def _map_entries(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             codec = codec or Codec(read_ranks(ranks_path), pattern)
             texts = batch.column("text").to_pylist()
             found = zip(batch.column("doc_id").to_pylist(), texts, codec.entries_of(texts))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import text_mark
+from rxlens.llm.arrow import slices, text_mark
 from rxlens.operators.reuse import checkpoint_stage
 
 SIZE = 10
@@ -40,7 +40,9 @@ SIZE = 10
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Bits of a vocabulary filter. Its size is fixed: a larger benchmark only lets more words pass.
 FILTER_BITS = 1 << 22
-MAX_KNOWN = 1_000_000
+#: Words whose hashes a task remembers, and rows of a batch that it holds as lists at a time.
+MAX_KNOWN = 1 << 16
+ROWS = 256
 
 
 def words(text: bytes) -> list[bytes]:
@@ -133,9 +135,8 @@ def build_index(docs: DataFrame, windows: DataFrame, runs_only: bool = True) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        filters = {n: np.unpackbits(f).view(bool) for n, f in packed.items()}
         struct = pa.struct([("pos", pa.int32()), ("word", pa.int64())])
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             counts, offsets, places, found = [], [0], [], []
             for text in batch.column("text").to_pylist():
                 if len(hashes) > MAX_KNOWN:
@@ -145,8 +146,9 @@ def build_index(docs: DataFrame, windows: DataFrame, runs_only: bool = True) ->
                 )
                 keep = np.zeros(len(value), dtype=bool)
                 bit = value & (FILTER_BITS - 1)
-                for n, bits in filters.items():
-                    keep |= _in_runs(bits[bit], n)
+                at, shift = bit >> 3, (7 - (bit & 7)).astype(np.uint8)
+                for n, bits in packed.items():
+                    keep |= _in_runs((bits[at] >> shift & 1).view(bool), n)
                 at = np.flatnonzero(keep)
                 counts.append(len(value))
                 offsets.append(offsets[-1] + len(at))

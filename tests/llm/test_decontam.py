@@ -1,7 +1,9 @@
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rxlens.llm import decontam
+from rxlens.llm.arrow import slices
 from rxlens.llm.queries import LLM_ORACLES, LLM_QUERIES
 from tests.conftest import rows
 
@@ -81,3 +83,13 @@ def test_no_column_name_clashes(spark):
     got = left.collect()
     assert sorted([r["doc_id"] for r in got], key=str) == [2, 2, None]
     assert all(r[name] == name for r in got for name in names)
+
+
+def test_parts_of_a_batch_and_forgotten_words_change_nothing(spark, monkeypatch):
+    docs, benchmark = tables(spark)
+    whole = rows(decontam.contamination(docs.coalesce(1), benchmark))
+    monkeypatch.setattr(decontam, "ROWS", 2)
+    monkeypatch.setattr(decontam, "MAX_KNOWN", 1)
+    assert rows(decontam.contamination(docs.coalesce(1), benchmark)) == whole
+    batch = pa.RecordBatch.from_pydict({"a": list(range(5))})
+    assert [part["a"].to_pylist() for part in slices([batch], 2)] == [[0, 1], [2, 3], [4]]
