@@ -89,7 +89,7 @@ def delivered(t: StarTables, reports: bool = False) -> tuple[Layers, list[dict[s
     touched = []
     for drop in deliveries(t):
         for feed, df in drop.items():
-            feeds.export_csv(df, f"{landing}/{feed}", mode="append")
+            feeds.export_csv(df, f"{landing}/{feed}", mode="append", compression="gzip")
         load_bronze(t.spark, landing, bronze, loads)
         touched.append(update_silver(t.spark, bronze, layers, merged))
         if reports:

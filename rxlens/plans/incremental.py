@@ -43,12 +43,16 @@ def bucket_of(key: str, buckets: int) -> Column:
 
 @dataclass(frozen=True)
 class Kept:
-    """How a silver table is kept: rows of a load, and the state of old and new rows together."""
+    """How a silver table is kept: rows of a load, and the state of old and new rows together.
+
+    Rows that ``merge`` brings together agree in the partition and in ``keys``.
+    """
 
     clean: Callable[[DataFrame], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
     part: str
     part_of: Callable[[int], Column]
+    keys: tuple[str, ...]
 
 
 KEPT: dict[str, Kept] = {
@@ -57,24 +61,28 @@ KEPT: dict[str, Kept] = {
         DataFrame.distinct,
         "member_bucket",
         lambda n: bucket_of("member_id", n),
+        ("member_id",),
     ),
     "claims": Kept(
         silver.silver_claims,
         DataFrame.distinct,
         "claim_month",
         lambda n: first_of_month("claim_date"),
+        ("claim_id",),
     ),
     "providers": Kept(
         silver.silver_providers,
         DataFrame.distinct,
         "provider_bucket",
         lambda n: bucket_of("provider_id", n),
+        ("provider_id",),
     ),
     "procedures": Kept(
         silver.silver_procedures,
-        lambda lines: silver.best_lines(lines),
+        lambda lines: silver.best_lines(lines, ["claim_bucket"]),
         "claim_bucket",
         lambda n: bucket_of("claim_id", n),
+        ("claim_id", "procedure_code"),
     ),
 }
 
@@ -126,23 +134,37 @@ def _update(
         return []
     table, path = layers.place("silver", feed)
     spark.sql("CREATE DATABASE IF NOT EXISTS silver")
-    part = kept.part_of(buckets)
-    rows = checkpoint_stage(kept.clean(fresh).withColumn(kept.part, part))
-    # At most one value per partition of the table.
-    touched = sorted((r[0] for r in rows.select(kept.part).distinct().collect()), key=str)
-    merged = rows
+    rows = kept.clean(fresh).withColumn(kept.part, kept.part_of(buckets))
     if spark.catalog.tableExists(table):
-        old = spark.table(table).where(_among(kept.part, touched))
-        merged = kept.merge(old.select(*rows.columns).unionByName(rows))
-    if touched:
-        replace_partitions(merged, table, [kept.part], path)
-    elif not spark.catalog.tableExists(table):
-        replace_partitions(rows, table, [kept.part], path)
+        rows = checkpoint_stage(rows)
+        touched = _values(rows, kept.part)
+        if touched:
+            old = spark.table(table).where(_among(kept.part, touched))
+            merged = kept.merge(_together(old, rows, kept))
+            replace_partitions(merged, table, [kept.part], path, gathered=True)
+    else:
+        # Clean rows are the first state as they are.
+        touched = _values(replace_partitions(rows, table, [kept.part], path), kept.part)
     noted = spark.range(1).select(F.explode(F.array(*map(F.lit, ids))).alias(LOAD_ID))
     noted.write.mode("append").parquet(f"{log}/{feed}")
     return touched
 
 
+def _together(old: DataFrame, rows: DataFrame, kept: Kept) -> DataFrame:
+    """Stored and new rows in one shuffle, which serves both the merge and the write.
+
+    Both sides are clean, so a row meets few others, and nothing is gained by reducing them
+    before the shuffle. Ranges of partition and key split a partition that is large.
+    """
+    every = old.select(*rows.columns).unionByName(rows)
+    return every.repartitionByRange(kept.part, *kept.keys)
+
+
+def _values(df: DataFrame, name: str) -> list:
+    """The partition values of rows: at most one per partition of the table."""
+    return sorted((r[0] for r in df.select(name).distinct().collect()), key=str)
+
+
 def _among(name: str, values: list) -> Column:
     """Null-safe membership, as a filter on partitions."""
     known = [v for v in values if v is not None]

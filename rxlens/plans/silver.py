@@ -7,6 +7,8 @@ Rows are distinct as a whole, so two versions of a member both survive; use
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +79,14 @@ def silver_procedures(raw: DataFrame, keep_sign: bool = False) -> DataFrame:
     return best.withColumn("cost_category", band("amount", COST_CUTS, COST_LABELS))
 
 
-def best_lines(lines: DataFrame) -> DataFrame:
-    """One line per claim and drug. Best lines of several deliveries merge by the same rule."""
+def best_lines(lines: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """One line per claim and drug. Best lines of several deliveries merge by the same rule.
+
+    ``also`` names columns that the claim determines; lines that lie together by them are not
+    shuffled again.
+    """
     return dedup_best(
         lines,
-        ["claim_id", "procedure_code"],
+        [*also, "claim_id", "procedure_code"],
         [F.desc("amount"), F.asc("procedure_desc")],
     )

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from rxlens.values import CODEC
+
 LAYERS = ("bronze", "silver", "gold")
 #: Folder name of a partition whose value is null.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -56,7 +58,11 @@ def _gathered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 
 
 def publish(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+    gathered: bool = False,
 ) -> DataFrame:
     """Make ``df`` the new state of a stored table.
 
@@ -64,11 +70,12 @@ def publish(
     pointed there when the write is done. So ``df`` may read the table itself, a write that
     fails changes nothing, and the files of the state before stay for plans that still read
     them, until the owner of the folder expires them. A partitioned table changes partition by
-    partition and exists throughout. One writer at a time.
+    partition and exists throughout. One writer at a time. ``gathered``: the rows already lie
+    together by partition, as after ``repartitionByRange``, and are written as they lie.
     """
     spark = df.sparkSession
     quoted = _quoted(table)
-    fresh = _write_fresh(df, table, partition_by, path)
+    fresh = _write_fresh(df, table, partition_by, path, gathered)
     stored = spark.read.schema(df.schema).parquet(fresh)
     exists = spark.catalog.tableExists(table)
     same = exists and sorted(spark.table(table).dtypes) == sorted(df.dtypes)
@@ -93,7 +100,11 @@ def publish(
 
 
 def replace_partitions(
-    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str],
+    path: str | None = None,
+    gathered: bool = False,
 ) -> DataFrame:
     """Make ``df`` the new content of the partitions it has rows in; the others stay as they are.
 
@@ -103,10 +114,10 @@ def replace_partitions(
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        return publish(df, table, partition_by, path)
+        return publish(df, table, partition_by, path, gathered)
     if sorted(spark.table(table).dtypes) != sorted(df.dtypes):
         raise ValueError(f"{table} has other columns than the rows that replace its partitions")
-    fresh = _write_fresh(df, table, partition_by, path)
+    fresh = _write_fresh(df, table, partition_by, path, gathered)
     _point_partitions(spark.read.schema(df.schema).parquet(fresh), table, partition_by)
     spark.catalog.refreshTable(table)
     return spark.table(table)
@@ -121,13 +132,13 @@ def _quoted(table: str) -> str:
 
 
 def _write_fresh(
-    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None
+    df: DataFrame, table: str, partition_by: Sequence[str], path: str | None, gathered: bool
 ) -> str:
     base = path or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir')}/_tables/{table}"
     fresh = f"{base.rstrip('/')}/state-{uuid.uuid4().hex}"
-    writer = _gathered(df, partition_by).write
+    writer = (df if gathered else _gathered(df, partition_by)).write
     writer = writer.partitionBy(*partition_by) if partition_by else writer
-    writer.mode("error").parquet(fresh)
+    writer.mode("error").option("compression", CODEC).parquet(fresh)
     return fresh
 
 

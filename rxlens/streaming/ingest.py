@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
+from rxlens.values import CODEC
+
 LOAD_ID = "load_id"
 #: Names of the text of a row that did not parse, and of its file, while a load runs.
 RECORD, SOURCE = "_corrupt_record", "_source_file"
@@ -61,7 +63,8 @@ def ingest_incremental(
         load_id = f"{stream_id}-{batch_id:010d}"
         seen = Observation()
         counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{LOAD_ID}={load_id}")
+        folder = f"{target.rstrip('/')}/{LOAD_ID}={load_id}"
+        counted.write.mode("overwrite").option("compression", CODEC).parquet(folder)
         added += seen.get["rows"]
 
     feed = _reader(spark, schema, sep, file_format).load(src)
@@ -131,7 +134,8 @@ def _ingest_checked(
         kept = batch.where(good).select(*[F.col(f"`{name}`") for name in names])
         kept = kept if transform is None else kept.transform(transform)
         counted = kept.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{load}")
+        folder = f"{target.rstrip('/')}/{load}"
+        counted.write.mode("overwrite").option("compression", CODEC).parquet(folder)
         added += seen.get["rows"]
 
     wide = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])

@@ -41,6 +41,8 @@ CREDIBILITY_DEFAULT = "Low credibility"
 # --- fixed values: codes, statuses, patterns -----------------------------------------
 CHANNEL_CODES = {"R": "Retail", "M": "Mail Order", "S": "Specialty"}
 UNKNOWN_LABEL = "Unknown"
+#: Codec of stored Parquet files.
+CODEC = "zstd"
 DECISION_STATUSES = ("APPROVED", "DENIED", "PENDING")
 AMOUNT_NOISE = "[^0-9.]"
 SIGNED_AMOUNT_NOISE = "[^0-9.-]"

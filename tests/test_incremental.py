@@ -250,3 +250,36 @@ def test_publishing_a_partitioned_table_never_drops_it(spark, table, tmp_path, m
     assert rows(spark.table(name)) == [(4, "a"), (6, "c"), (7, None)]
     with pytest.raises(ValueError):
         layers.replace_partitions(table("y int, m string", (1, "a")), name, ["m"], path)
+
+
+def test_a_merge_moves_its_rows_once(desk):
+    """Ranges of partition and key serve the merge and the write; no side is small enough to skip."""
+    desk.run()
+    for feed, kept in incremental.KEPT.items():
+        old = desk.spark.table(desk.layers.place("silver", feed)[0])
+        merged = kept.merge(incremental._together(old, old, kept))
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning(") == 1, feed
+        assert rows(merged) == rows(old), feed
+
+
+def test_the_first_state_is_not_staged(desk, monkeypatch):
+    def stage(df):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr(incremental, "checkpoint_stage", stage)
+    first = desk.run()
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1), None]
+    assert first["claims"] == months and all(first.values())
+    same_as_a_full_rebuild(desk)
+
+
+def test_feeds_may_come_compressed(spark, table, tmp_path):
+    """Loaded tables and silver partitions are zstd files."""
+    rich = table(CLAIMS, ("c1", "m1", "p1", dt.date(2024, 1, 5), 10.0, "Approved"))
+    feeds.export_csv(rich, str(tmp_path / "in"), compression="gzip")
+    assert list((tmp_path / "in").glob("*.csv.gz"))
+    target = str(tmp_path / "out")
+    assert ingest_incremental(spark, str(tmp_path / "in"), target, CLAIMS, str(tmp_path / "log")) == 1
+    assert rows(read_ingested(spark, target, CLAIMS).drop(LOAD_ID)) == rows(rich)
+    assert list(Path(target).rglob("*.zstd.parquet"))
