@@ -300,7 +300,7 @@ def medallion(t: StarTables) -> dict[str, DataFrame]:
         "procedures": t.procedures(),
     }
     for feed, df in sources.items():
-        feeds.export_csv(df, f"{landing}/{feed}")
+        feeds.export_csv(df, f"{landing}/{feed}", compression="gzip")
     load_bronze(t.spark, landing, bronze, log)
     layers_at = Layers("rxlens_check_", root)
     silver = build_silver(t.spark, bronze, layers_at)

@@ -129,11 +129,14 @@ def month_totals(
     )
 
 
-def trend(months: DataFrame, by: Sequence[str] = (), calendar: bool = False) -> DataFrame:
+def trend(
+    months: DataFrame, by: Sequence[str] = (), calendar: bool = False, ordered: bool = True
+) -> DataFrame:
     """Growth and smoothing over ``month_totals``.
 
     ``calendar=False`` looks one and twelve *rows* back; ``calendar=True`` one and twelve
-    months, which differs when a month is missing.
+    months, which differs when a month is missing. ``ordered=False`` saves the sort, by month
+    and key, where the result is stored anyway.
     """
     order, spend = "claim_month", "total_drug_spend"
     with_spend = months.withColumns(
@@ -149,7 +152,7 @@ def trend(months: DataFrame, by: Sequence[str] = (), calendar: bool = False) ->
             "prior_year_spend": prior_value(order, spend, 12, by, calendar),
         }
     )
-    return prior.select(
+    found = prior.select(
         order,
         *by,
         "claim_count",
@@ -160,7 +163,8 @@ def trend(months: DataFrame, by: Sequence[str] = (), calendar: bool = False) ->
         "prior_year_spend",
         growth(spend, "prior_year_spend").alias("yoy_growth_pct"),
         "moving_avg_3mo",
-    ).orderBy(order, *by)
+    )
+    return found.orderBy(order, *by) if ordered else found
 
 
 def spend_trend(claims: DataFrame, by: Sequence[str] = (), calendar: bool = False) -> DataFrame:
@@ -185,9 +189,10 @@ def spend_trend_by_channel(claims: DataFrame, providers: DataFrame) -> DataFrame
     return trend(channel_months(claims, providers), ["channel"])
 
 
-def spend_trend_by_drug(lines: DataFrame) -> DataFrame:
+def spend_trend_by_drug(lines: DataFrame, ordered: bool = True) -> DataFrame:
     """Monthly trend per drug code over ``member_lines``, in line items and their amounts."""
-    return trend(month_totals(lines, ["procedure_code"], amount="amount"), ["procedure_code"])
+    months = month_totals(lines, ["procedure_code"], amount="amount")
+    return trend(months, ["procedure_code"], ordered=ordered)
 
 
 def membership_trend(

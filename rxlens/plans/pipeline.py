@@ -132,7 +132,7 @@ def build_gold(
         "spend_trend": gold.spend_trend(claims),
         "decision_volume": gold.decision_volume(claims, members),
         "approval_by_lob": gold.approval_by_lob(claims, members),
-        "spend_trend_by_drug": gold.spend_trend_by_drug(lines),
+        "spend_trend_by_drug": gold.spend_trend_by_drug(lines, ordered=False),
         "high_cost_members": gold.high_cost_members(claims, lines, members, as_of, ordered=False),
         "drug_type_mix": gold.drug_type_mix(lines, members, as_of),
         "pmpm": gold.pmpm(claims, members, start, end),

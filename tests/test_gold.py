@@ -309,3 +309,14 @@ def test_known_statuses_never_exceed_the_total(spark, sf_dir):
     known = F.col("approved") + F.col("denied") + F.col("pending")
     assert rates.where(known > F.col("total_claims")).count() == 0
     assert rates.agg(F.sum("total_claims")).first()[0] == t.claims(False).count()
+
+
+def test_a_stored_drug_trend_is_not_sorted(table):
+    lines = table(
+        "claim_date date, procedure_code string, amount double",
+        *[(dt.date(2024, m, 1), code, 5.0 * m) for m in (3, 1, 2) for code in ("b", "a")],
+    )
+    stored, shown = gold.spend_trend_by_drug(lines, ordered=False), gold.spend_trend_by_drug(lines)
+    assert rows(stored) == rows(shown)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (stored, shown)]
+    assert ["rangepartitioning" in plan for plan in plans] == [False, True]
