@@ -83,6 +83,9 @@ def publish(
         spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{fresh}'")
     elif same and partition_by and _by_catalog(spark, table, partition_by):
         now = _point_partitions(stored, table, partition_by)
+        # Partitions that an append makes go below the new folder: not beside files of a state
+        # before, which would come back with them.
+        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{fresh}'")
         for spec in _partitions(spark, table) - now:
             spark.sql(f"ALTER TABLE {quoted} DROP IF EXISTS PARTITION ({_spec_sql(spec)})")
     else:

@@ -283,3 +283,14 @@ def test_feeds_may_come_compressed(spark, table, tmp_path):
     assert ingest_incremental(spark, str(tmp_path / "in"), target, CLAIMS, str(tmp_path / "log")) == 1
     assert rows(read_ingested(spark, target, CLAIMS).drop(LOAD_ID)) == rows(rich)
     assert list(Path(target).rglob("*.zstd.parquet"))
+
+
+def test_appended_partitions_bring_no_rows_of_a_state_before(spark, table, tmp_path):
+    schema = "x int, m string"
+    for run in (1, 2, 3):
+        place = {"partition_by": "m", "path": str(tmp_path / f"run{run}")}
+        layers.save_layer(table(schema, (run, "a")), "silver", "appended_test", **place)
+        late = table(schema, (run, "b"), (run + 10, "a"))
+        layers.save_layer(late, "silver", "appended_test", mode="append", **place)
+        want = [(run, "a"), (run, "b"), (run + 10, "a")]
+        assert rows(spark.table("silver.appended_test")) == sorted(want, key=repr)
