@@ -10,7 +10,9 @@ how far the next token reaches: starts from which some longer entry may still ma
 The transducer's state is what the future depends on: for each open start, its node in the
 vocabulary's trie and the token before that start, and the token at the present end. It is
 relative to the present place, so equal situations in different pieces share a state. States
-and their transitions are made when first met and kept in a table that is emptied when full.
+and their transitions are made when first met and kept, packed, in a table that is emptied when
+it holds ``MAX_STATES`` transitions. Of a piece only its packed ids are kept: the digits and
+bytes of a text's ids are looked up token by token.
 Each step tells the token that ends at the present place; tokens are put out by following these
 back. Chains from all open starts meet after a bounded look-ahead, and what lies before their
 meeting is final: a very long piece puts it out on the way, others at their end.
@@ -24,10 +26,11 @@ ordinary text; an entry that merging cannot reach is used only for a piece equal
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,8 @@ from pyspark.sql import functions as F
 
 from rxlens.llm.arrow import batch_of, map_texts, plain_texts, slices
 
-MAX_STATES = 200_000
+#: Transitions, and answers about neighbours, that are kept.
+MAX_STATES, MAX_APART = 400_000, 200_000
 MAX_PIECES = 400_000
 #: Characters whose pieces are listed at once; a longer text goes piece by piece.
 LISTED = 1 << 20
@@ -45,6 +49,8 @@ LISTED = 1 << 20
 ROWS = 1024
 #: Bytes of a piece after which tokens are put out before its end.
 LONG = 4096
+#: Ids whose bytes or digits are looked up together.
+PART = 1 << 14
 #: Pieces that take their steps together, and the bytes beyond which a piece goes alone.
 TOGETHER, SHORT = 16_384, 64
 
@@ -162,21 +168,26 @@ class Transducer:
 
     def _reset(self) -> None:
         # A state: open starts as (node, token before that start), oldest first, and last the
-        # present end as (0, token before it); -1 before the piece.
-        start = ((0, -1),)
+        # present end as (0, token before it); -1 before the piece. Each pair is packed into
+        # eight bytes, ``node << 32 | token + 1``.
+        start = array("q", [0]).tobytes()
         self.states = [start]
         self.ends = [-1]
         self.numbers = {start: 0}
         self.moves: dict[int, int] = {}
 
-    def _number(self, state: tuple) -> int:
+    def _number(self, state: bytes, ended: int) -> int:
         known = self.numbers.get(state)
         if known is None:
             known = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.ends.append(state[-1][1])
+            self.ends.append(ended)
         return known
 
+    def _pairs(self, number: int) -> list[tuple[int, int]]:
+        """The pairs of a state."""
+        return [(p >> 32, (p & 0xFFFFFFFF) - 1) for p in array("q", self.states[number])]
+
     def _entry_at(self, node: int) -> int | None:
         rank = self.entry[node]
         if rank is not None and rank < 0:
@@ -189,10 +200,10 @@ class Transducer:
     def _are_apart(self, left: int, right: int) -> bool:
         if left < 0:
             return True
-        key = left << 32 | right
+        key = left + 1 << 32 | right
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) >= MAX_STATES:
+            if len(self._apart) >= MAX_APART:
                 self._apart.clear()
             known = self.merges.apart(self.tokens[left], self.tokens[right])
             self._apart[key] = known
@@ -200,13 +211,14 @@ class Transducer:
 
     def _move(self, number: int, byte: int) -> int:
         """The state after ``byte``."""
-        grown = []
+        grown = array("q")
         ended = None
         below, goes_on, entry, apart = self.below, self.goes_on, self.entry, self._apart
-        for node, before in self.states[number]:
-            node = below.get(node << 8 | byte)
+        for pair in array("q", self.states[number]):
+            node = below.get(pair >> 32 << 8 | byte)
             if node is None:
                 continue
+            before = pair & 0xFFFFFFFF
             if ended is None:
                 token = entry[node]
                 if token is not None and token < 0:
@@ -214,15 +226,15 @@ class Transducer:
                 if token is not None:
                     fits = apart.get(before << 32 | token)
                     if fits is None:
-                        fits = self._are_apart(before, token)
+                        fits = self._are_apart(before - 1, token)
                     if fits:
                         ended = token
             if goes_on[node]:
-                grown.append((node, before))
+                grown.append(node << 32 | before)
         if ended is None:
             raise ValueError(f"byte {byte} cannot be encoded by this vocabulary")
-        grown.append((0, ended))
-        return self._number(tuple(grown))
+        grown.append(ended + 1)
+        return self._number(grown.tobytes(), ended)
 
     def _finish(self, number: int, byte: int) -> int:
         """The last token if the piece ends with ``byte``."""
@@ -230,7 +242,7 @@ class Transducer:
         if move is not None:
             return self.ends[move]
         below = self.below
-        for node, before in self.states[number]:
+        for node, before in self._pairs(number):
             node = below.get(node << 8 | byte)
             if node is not None:
                 token = self._entry_at(node)
@@ -245,7 +257,7 @@ class Transducer:
             return [whole]
         if len(piece) > LONG:
             return list(self.stream(piece))
-        if len(self.states) + len(piece) > MAX_STATES:
+        if len(self.moves) + len(piece) > MAX_STATES:
             self._reset()
         state, ended = 0, []
         for byte in piece[:-1]:
@@ -262,7 +274,7 @@ class Transducer:
         """
         flat, counts = [], []
         for at in range(0, len(pieces), TOGETHER):
-            if len(self.states) >= MAX_STATES:
+            if len(self.moves) >= MAX_STATES:
                 self._reset()
             tokens, count = self._encode_block(pieces[at : at + TOGETHER])
             flat.append(tokens)
@@ -286,7 +298,7 @@ class Transducer:
         data = np.frombuffer(b"".join([pieces[i] for i in rows.tolist()]), np.uint8)
         starts = np.cumsum(lengths) - lengths
         states = np.zeros(len(rows), np.int64)
-        ended = np.zeros((int(lengths.max(initial=0)), len(rows)), np.int64)
+        ended = np.zeros((int(lengths.max(initial=0)), len(rows)), np.int32)
         for place in range(len(ended)):
             here, on = np.searchsorted(-lengths, [-place, -place - 1]).tolist()
             keys = states[:here] << 8 | data[starts[:here] + place]
@@ -322,15 +334,15 @@ class Transducer:
         them final; what is kept does not grow with the piece."""
         ended, state = [], 0
         for place, byte in enumerate(piece, 1):
-            if len(self.states) >= MAX_STATES:
-                here = self.states[state]
+            if len(self.moves) >= MAX_STATES:
+                here, last = self.states[state], self.ends[state]
                 self._reset()
-                state = self._number(here)
+                state = self._number(here, last)
             state = self._after(state << 8 | byte)
             ended.append(self.ends[state])
             if place % LONG == 0 or place == len(piece):
                 depths = [0] if place == len(piece) else [
-                    self.depth[node] for node, _ in self.states[state]
+                    self.depth[node] for node, _ in self._pairs(state)
                 ]
                 final = self._meeting(ended, [len(ended) - depth for depth in depths])
                 yield from self._chain(ended, final)
@@ -418,8 +430,14 @@ class Utf8Decoder:
         return "\ufffd" if rest else ""
 
 
-#: What is kept of a piece: its ids, their decimal digits joined by commas, and their bytes.
-Entry = tuple[tuple[int, ...], str, bytes]
+class Entry(NamedTuple):
+    """The ids of pieces next to each other, as 32-bit numbers."""
+
+    ids: np.ndarray
+
+
+def _entry(found: list[bytes]) -> Entry:
+    return Entry(np.frombuffer(b"".join(found), np.int32))
 
 
 class Codec:
@@ -428,9 +446,16 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
         self.transducer = Transducer(ranks)
         self.tokens = self.transducer.tokens
+        # By rank: where a token's bytes start among those of all, and its digits with a comma.
+        self.starts = np.zeros(len(self.transducer.sizes), np.int64)
+        ordered = sorted(self.tokens)
+        self.flat = np.frombuffer(b"".join(map(self.tokens.get, ordered)), np.uint8)
+        sizes = self.transducer.sizes[ordered]
+        self.starts[ordered] = np.cumsum(sizes) - sizes
+        self.digits = np.array([b"%d," % rank for rank in range(len(self.starts))], np.bytes_)
         self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
-        self.known: dict[str, Entry] = {}
+        self.known: dict[str, bytes] = {}
 
     def _runs(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, in lists of bounded length."""
@@ -441,42 +466,31 @@ class Codec:
         while run := [m[0] for m in islice(matches, LISTED // 8)]:
             yield run
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, Entry]:
-        """Entries of pieces that are not known; all but very long ones are kept."""
+    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Packed ids of pieces that are not known; all but very long ones are kept."""
         pieces, known = list(pieces), self.known
-        # States and entries form no cycles; the collector need not walk them meanwhile.
-        collects = gc.isenabled()
-        gc.disable()
-        try:
-            ids, counts = self.transducer.encode_many([piece.encode("utf-8") for piece in pieces])
-            sizes, ids, ends = self.transducer.sizes[ids], ids.tolist(), np.cumsum(counts)
-            raw = b"".join([self.tokens[i] for i in ids])
-            bytes_to = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
-            digits = list(map(str, ids))
-            made, at, byte = {}, 0, 0
-            for piece, end, to in zip(pieces, ends.tolist(), bytes_to):
-                entry = (tuple(ids[at:end]), ",".join(digits[at:end]), raw[byte:to])
-                made[piece] = entry
-                if end - at <= 64:
-                    if len(known) >= self.max_pieces:
-                        known.clear()
-                    known[piece] = entry
-                at, byte = end, to
-        finally:
-            if collects:
-                gc.enable()
+        ids, counts = self.transducer.encode_many([piece.encode("utf-8") for piece in pieces])
+        packed = ids.astype(np.int32).tobytes()
+        made, at = {}, 0
+        for piece, end in zip(pieces, (4 * np.cumsum(counts)).tolist()):
+            made[piece] = packed[at:end]
+            if end - at <= 256:
+                if len(known) >= self.max_pieces:
+                    known.clear()
+                known[piece] = made[piece]
+            at = end
         return made
 
     def entries(self, text: str) -> Iterator[list[Entry]]:
-        """Ids, digits and decoded bytes of the pieces of a text, in lists of bounded length."""
+        """Ids of the pieces of a text, in parts of bounded length."""
         known = self.known
         for run in self._runs(text):
             found = list(map(known.get, run))
             if None in found:
-                made = self._learn({p for p, entry in zip(run, found) if entry is None})
-                found = [entry or made[piece] for piece, entry in zip(run, found)]
+                made = self._learn({p for p, ids in zip(run, found) if ids is None})
+                found = [ids or made[piece] for piece, ids in zip(run, found)]
             if found:
-                yield found
+                yield [_entry(found)]
 
     def entries_of(self, texts: Iterable[str]) -> Iterator[Iterable[list[Entry]]]:
         """For each text what ``entries`` gives; texts next to each other learn together.
@@ -500,20 +514,30 @@ class Codec:
         runs = list(map(self.pattern.findall, texts))
         found = [list(map(self.known.get, run)) for run in runs]
         made = self._learn(
-            {p for run, have in zip(runs, found) for p, entry in zip(run, have) if entry is None}
+            {p for run, have in zip(runs, found) for p, ids in zip(run, have) if ids is None}
         )
         for run, have in zip(runs, found):
             if None in have:
-                have = [entry or made[piece] for piece, entry in zip(run, have)]
-            yield [have] if have else []
+                have = [ids or made[piece] for piece, ids in zip(run, have)]
+            yield [[_entry(have)]] if have else []
 
     def encode(self, text: str) -> list[int]:
-        return [i for found in self.entries(text) for entry in found for i in entry[0]]
-
-    def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
-        token = self.tokens.__getitem__
-        for at in range(0, len(ids), 4096):
-            yield b"".join(map(token, ids[at : at + 4096]))
+        return [i for found in self.entries(text) for entry in found for i in entry.ids.tolist()]
+
+    def decode_bytes(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The bytes of the tokens, in parts of bounded length."""
+        for at in range(0, len(ids), PART):
+            part = ids[at : at + PART]
+            sizes = self.transducer.sizes[part]
+            ends = np.cumsum(sizes)
+            shifts = np.repeat(self.starts[part] - ends + sizes, sizes)
+            yield self.flat[shifts + np.arange(len(shifts))].tobytes()
+
+    def decimals(self, ids: np.ndarray) -> Iterator[bytes]:
+        """The ids' decimal digits, a comma after each, in parts of bounded length."""
+        for at in range(0, len(ids), PART):
+            # The table's rows are filled up with zero bytes.
+            yield self.digits[ids[at : at + PART]].tobytes().translate(None, b"\0")
 
     def decode(self, ids: list[int]) -> Iterator[str]:
         """The text of a stream of ids, piece by piece; no character is cut."""
@@ -540,7 +564,7 @@ def _map_entries(
     docs: DataFrame,
     ranks_path: str,
     pattern: str,
-    row: Callable[[str, Iterable[list[Entry]]], tuple],
+    row: Callable[[Codec, str, Iterable[list[Entry]]], tuple],
     schema: str,
 ) -> DataFrame:
     """``doc_id`` and the values of ``row`` for every whole text and its entries."""
@@ -552,7 +576,7 @@ def _map_entries(
             codec = codec or Codec(read_ranks(ranks_path), pattern)
             texts = batch.column("text").to_pylist()
             found = zip(batch.column("doc_id").to_pylist(), texts, codec.entries_of(texts))
-            yield batch_of([(i, *row(text, entries)) for i, text, entries in found], whole)
+            yield batch_of([(i, *row(codec, *pair)) for i, *pair in found], whole)
 
     return plain_texts(docs).mapInArrow(run, whole)
 
@@ -563,14 +587,12 @@ def encode_checked(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     The ids are decoded again; a text that does not come back fails the job.
     """
 
-    def row(text: str, entries: Iterable[list[Entry]]) -> tuple:
-        ids, back = [], []
+    def row(codec: Codec, text: str, entries: Iterable[list[Entry]]) -> tuple:
+        parts = [np.zeros(0, np.int32), *[entry.ids for found in entries for entry in found]]
+        ids = np.concatenate(parts)
         machine = Utf8Decoder()
-        for found in entries:
-            ids.extend(chain.from_iterable([entry[0] for entry in found]))
-            back.append(machine.push(b"".join([entry[2] for entry in found])))
-        back = "".join(back)
-        if back + machine.end() != text:
+        back = "".join(map(machine.push, codec.decode_bytes(ids))) + machine.end()
+        if back != text:
             raise ValueError("a text changed on its way through the tokens")
         return len(ids), ids, hashlib.sha256(text.encode()).hexdigest()
 
@@ -602,16 +624,17 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 def round_trip_report(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the bytes decoded."""
 
-    def row(text: str, entries: Iterable[list[Entry]]) -> tuple:
+    def row(codec: Codec, text: str, entries: Iterable[list[Entry]]) -> tuple:
         count, listed, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        comma = b""
         machine = Utf8Decoder()
-        for found in entries:
-            if count:
-                listed.update(b",")
-            count += sum([len(entry[0]) for entry in found])
-            listed.update(",".join([entry[1] for entry in found]).encode())
-            raw = b"".join([entry[2] for entry in found])
-            decoded.update(machine.push(raw).encode())
+        for ids in (entry.ids for found in entries for entry in found):
+            for part in codec.decimals(ids):
+                listed.update(comma + part[:-1])
+                comma = b","
+            for part in codec.decode_bytes(ids):
+                decoded.update(machine.push(part).encode())
+            count += len(ids)
         decoded.update(machine.end().encode())
         return count, listed.hexdigest(), decoded.hexdigest()
 

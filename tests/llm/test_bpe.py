@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -120,3 +121,39 @@ def test_texts_that_learn_together_keep_their_own_ids(ranks, monkeypatch, listed
     ]
     assert got == [alone.encode(text) for text in texts]
     assert list(codec.entries_of([])) == []
+
+
+def test_what_a_codec_keeps_of_a_piece_is_small(ranks):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("aeinrstlod", k=rnd.randint(4, 9))) for _ in range(30_000)]
+    codec = bpe.Codec(ranks, PATTERN)
+    tracemalloc.start()
+    try:
+        assert len(codec.encode(" ".join(words))) > len(words)
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(codec.known) > 25_000
+    assert kept / len(codec.known) < 800
+
+
+@pytest.mark.parametrize("part", [1, 3, 1 << 14])
+def test_bytes_and_digits_of_ids(ranks, library, monkeypatch, part):
+    monkeypatch.setattr(bpe, "PART", part)
+    text = "a naïve 🙂 café, 12345 zqzqzq\n" * 20
+    codec = bpe.Codec(ranks, PATTERN)
+    ids = [entry.ids for found in codec.entries(text) for entry in found]
+    want = library.encode_ordinary(text)
+    assert [i for run in ids for i in run.tolist()] == want
+    assert b"".join(b for run in ids for b in codec.decode_bytes(run)) == text.encode()
+    digits = b"".join(d for run in ids for d in codec.decimals(run))
+    assert digits == "".join(f"{i}," for i in want).encode()
+
+
+def test_checked_ids_are_those_of_the_library(spark, library):
+    texts = [(1, "naïve 🙂 café " * 300), (2, ""), (3, None), (4, "zq" * 3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in bpe.encode_checked(docs, RANKS, PATTERN).collect()}
+    for i, text in texts:
+        want = library.encode_ordinary(text or "")
+        assert (got[i]["n_tokens"], got[i]["ids"]) == (len(want), want)
