@@ -42,11 +42,11 @@ from rxlens.llm.arrow import batch_of, map_texts, plain_texts, slices
 
 #: Transitions, and answers about neighbours, that are kept.
 MAX_STATES, MAX_APART = 400_000, 200_000
-MAX_PIECES = 400_000
+MAX_PIECES = 130_000
 #: Characters whose pieces are listed at once; a longer text goes piece by piece.
-LISTED = 1 << 20
+LISTED = 1 << 19
 #: Rows of a batch that are held as lists of ids at a time.
-ROWS = 1024
+ROWS = 512
 #: Bytes of a piece after which tokens are put out before its end.
 LONG = 4096
 #: Ids whose bytes or digits are looked up together.

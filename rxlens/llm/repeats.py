@@ -41,6 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rxlens.llm.arrow import slices
 from rxlens.llm.transforms import Transform, common_lengths, transform
 from rxlens.operators.reuse import checkpoint_stage
 
@@ -49,6 +50,8 @@ ANCHOR = 32
 MAX_CONTEXTS = 2000
 BUCKET_BYTES = 1 << 17
 SHARDS = 4
+#: Rows of a batch that are held as lists at a time: texts, and contexts with all their windows.
+ROWS, WINDOW_ROWS = 512, 128
 _STEP = 1 << 16
 _LOW = np.uint64(0x1FFFF)
 
@@ -244,7 +247,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The owned texts of the contexts asked for, out of their documents."""
     names = ["anchor", "owned", "copies", "hot", "body"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-    for batch in batches:
+    for batch in slices(batches, ROWS):
         out: list[tuple] = []
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         for text, wanted in zip(texts, batch.column("wanted").to_pylist()):
@@ -260,20 +263,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["anchor", "owned", "copies", "off", "h1", "h2"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    for batch in batches:
+    for batch in slices(batches, WINDOW_ROWS):
         columns = [batch.column(c).to_pylist() for c in ("anchor", "owned", "copies", "body")]
-        for low in range(0, len(columns[0]), 2000):
-            out = []
-            for anchor, owned, copies, body in zip(*(c[low : low + 2000] for c in columns)):
-                for off in range(len(body) - WINDOW + 1):
-                    h = xxhash.xxh3_128_digest(body[off : off + WINDOW])
-                    h1 = int.from_bytes(h[:8], "big", signed=True)
-                    h2 = int.from_bytes(h[8:], "big", signed=True)
-                    out.append((anchor, owned, copies, off, h1, h2))
-            found = list(zip(*out)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(found, types)], names=names
-            )
+        out = []
+        for anchor, owned, copies, body in zip(*columns):
+            for off in range(len(body) - WINDOW + 1):
+                h = xxhash.xxh3_128_digest(body[off : off + WINDOW])
+                h1 = int.from_bytes(h[:8], "big", signed=True)
+                h2 = int.from_bytes(h[8:], "big", signed=True)
+                out.append((anchor, owned, copies, off, h1, h2))
+        found = list(zip(*out)) if out else [[]] * 6
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(found, types)], names=names
+        )
 
 
 def _merged(contexts: DataFrame, bucket_bytes: int, shards: int) -> DataFrame:
@@ -416,7 +418,7 @@ _REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, ROWS):
         rows = []
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         for text, spans in zip(texts, batch.column("spans").to_pylist()):
@@ -477,7 +479,7 @@ def drop_repeats(docs: DataFrame, max_contexts: int = MAX_CONTEXTS) -> DataFrame
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             kept = [
                 None if none else kept_text(text, spans)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import text_mark
+from rxlens.llm.arrow import slices, text_mark
 from rxlens.operators.reuse import checkpoint_stage
 
 SHINGLE = 3
@@ -40,6 +40,8 @@ SEED = 42
 MAX_ENTRY = 64
 _HALF = 0xFFFFFFFF
 _SUM_ROWS = 1 << 14
+#: Rows of a batch that are held as lists at a time.
+ROWS = 512
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -67,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``mark`` (see ``text_mark``) and ``fp`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             texts = batch.column("text").to_pylist()
             found = [fingerprint(x, shingle) for x in texts]
             yield pa.RecordBatch.from_arrays(

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxlens.llm.arrow import agreed_labels, batch_of, plain_texts
+from rxlens.llm.arrow import agreed_labels, batch_of, plain_texts, slices
 from rxlens.operators.reuse import checkpoint_stage
 
 ORDER = 3
@@ -60,6 +60,8 @@ TURNS = 6
 CERTAIN = 25.0
 THRESHOLD = 0.7
 MAX_KNOWN = 250_000
+#: Rows of a batch that are held as lists of words at a time.
+ROWS = 500
 _SYMBOLS = 64
 _WORD = re.compile(r"\w(?:\S*\w)?")
 _SPELLED = re.compile(r"\b\w(?:\W{1,2}\w\b){2,}")
@@ -286,7 +288,7 @@ _SENTENCES = "doc_id long, toxic boolean, words array<string>"
 
 
 def _sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, ROWS):
         rows = []
         ids, flags = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
         for doc_id, toxic, text in zip(ids, flags, batch.column("text").to_pylist()):
@@ -426,15 +428,13 @@ def _evidence(docs: DataFrame, model: Model, more: list[str], text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
-            texts, rows = batch.column(text), []
-            for low in range(0, len(texts), 500):
-                found = [units(t or "") for t in texts.slice(low, 500).to_pylist()]
-                if len(known) > MAX_KNOWN:
-                    known.clear()
-                new = [w for w in set().union(*found) if w not in known]
-                known.update(zip(new, model.values(new).tolist()))
-                rows += [evidence(list(map(known.__getitem__, words))) for words in found]
+        for batch in slices(batches, ROWS):
+            found = [units(t or "") for t in batch.column(text).to_pylist()]
+            if len(known) > MAX_KNOWN:
+                known.clear()
+            new = [w for w in set().union(*found) if w not in known]
+            known.update(zip(new, model.values(new).tolist()))
+            rows = [evidence(list(map(known.__getitem__, words))) for words in found]
             both = batch_of(rows, "top double, more double")
             arrays = [batch.column(c) for c in more] + both.columns
             yield pa.RecordBatch.from_arrays(arrays, names=[*more, "top", "more"])
